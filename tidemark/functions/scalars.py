@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money keeps 2 places, rates 4; their product still fits a long.
-MONEY = "decimal(12,2)"
-RATE = "decimal(5,4)"
+# Money is held in cents, rates in ten-thousandths, both as longs.
+CENT = 100
+RATE_UNIT = 10_000
 
 # Upper edges of the delay buckets in ms (<1 s, 1-5, 5-15, 15-60, >=60 s).
 DELAY_EDGES_MS = (1_000, 5_000, 15_000, 60_000)
@@ -62,13 +62,26 @@ def iso_utc(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def money(value: Column) -> Column:
-    return value.cast(MONEY)
+def cents(value: Column) -> Column:
+    """Money of two places as a whole number of cents: exact sums, cheap arithmetic."""
+    return F.rint(value * CENT).cast("long")
 
 
-def round_money(value: Column) -> Column:
-    """Two places, half away from zero, computed on decimals."""
-    return F.round(value, 2).cast(MONEY)
+def rate(value: Column) -> Column:
+    """A rate of four places as a whole number of ten-thousandths."""
+    return F.rint(value * RATE_UNIT).cast("long")
+
+
+def share(amount_cents: Column, rate_units: Column) -> Column:
+    """``amount * rate`` in cents, rounded half away from zero."""
+    product = amount_cents * rate_units
+    half = F.when(product < 0, F.lit(-RATE_UNIT // 2)).otherwise(F.lit(RATE_UNIT // 2))
+    return F.call_function("div", product + half, F.lit(RATE_UNIT))
+
+
+def units(amount_cents: Column) -> Column:
+    """Cents as a double of currency units."""
+    return amount_cents / F.lit(float(CENT))
 
 
 def parse_symbols(text: Column) -> Column:

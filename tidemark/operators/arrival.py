@@ -21,6 +21,7 @@ from tidemark.operators.prefix import BUCKET, running, with_order_buckets
 ORDER = ("arr", "event_id")
 # The three timeliness classes.
 CLASSES = ("green", "orange", "red")
+STEPS_PER_BUCKET = 1024
 
 
 def running_watermark(
@@ -78,16 +79,15 @@ def class_counts(classed: DataFrame, column: str = "color") -> DataFrame:
     return wide.select(F.inline(pairs), F.col("red").alias("dlq_count"))
 
 
-def close_lags(
-    marked: DataFrame, windows: DataFrame, size_ms: int, buckets: int | None = None
-) -> DataFrame:
+def close_lags(marked: DataFrame, windows: DataFrame, size_ms: int) -> DataFrame:
     """Arrival of the record that closed each window, minus the window end.
 
     The closing record is the first whose watermark reaches the end. The
     watermark never falls along the arrival order, so per step of ``size_ms``
     only the earliest arrival matters, and a minimum over all later steps gives
-    the answer without a range join. Windows closed by the end of the input have
-    no lag (null).
+    the answer without a range join. Steps are unique, so spans of equal width
+    serve as the buckets of that scan. Windows closed by the end of the input
+    have no lag (null).
     """
     steps = (
         marked.groupBy(window_start_ms(F.col("watermark_ms"), size_ms).alias("window_end_ms"))
@@ -97,9 +97,9 @@ def close_lags(
     frame = (
         steps.unionByName(asked).groupBy("window_end_ms").agg(F.min("arr").alias("arr"))
         .withColumn("back", -F.col("window_end_ms"))
+        .withColumn(BUCKET, window_start_ms(F.col("back"), size_ms * STEPS_PER_BUCKET))
     )
-    placed = with_order_buckets(frame, "back", buckets=buckets)
-    closes = running(placed, ["back"], {"close_arr": ("min", F.col("arr"))})
+    closes = running(frame, ["back"], {"close_arr": ("min", F.col("arr"))})
     return (
         windows.join(closes.select("window_end_ms", "close_arr"), "window_end_ms", "left")
         .withColumn("close_lag_ms", F.col("close_arr") - F.col("window_end_ms"))

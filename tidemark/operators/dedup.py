@@ -6,40 +6,62 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+ORDER = ("arr", "event_id")
 # Arrivals that one array may hold; longer runs take the paged path.
 SHORT_RUN = 10_000
 # Fixed value: one page is a 4 KiB bitmap, one bit per millisecond.
 PAGE_MS = 32_768
 
 
-def first_arrivals(
-    df: DataFrame, key: str = "event_id", order: Sequence[str] = ("arr", "event_id")
-) -> DataFrame:
+def first_arrivals(df: DataFrame, key: str = "event_id", order: Sequence[str] = ORDER) -> DataFrame:
     """First row per id, with no time limit. Combined before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    return (
-        df.groupBy(key)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("row"))
-        .select(key, "row.*")
-        .select(*df.columns)
-    )
+    return _first(df, [key], order).select(*df.columns)
 
 
 def dedup_ttl(
     df: DataFrame,
     ttl_ms: int = 600_000,
     key: str = "event_id",
-    arrival: str = "arr",
-    tie: Column | None = None,
+    order: Sequence[str] = ORDER,
     short_run: int = SHORT_RUN,
 ) -> DataFrame:
     """Keep an arrival unless a kept arrival of its id lies within the TTL before it.
 
-    The time limit counts from the kept arrival and is not renewed by copies, so
-    the rule is a chain per id. It is evaluated without gathering an id's rows:
+    ``order`` is the arrival time in ms, then tie-breaks. The time limit counts
+    from the kept arrival and is not renewed by copies, so the rule is a chain per
+    id. Ids whose arrivals all lie within one TTL keep their first row, which is one
+    aggregate. The other ids take :func:`_chain`, which never gathers an id's rows.
+    """
+    arrival = order[0]
+    spans = df.groupBy(key).agg((F.max(arrival) - F.min(arrival)).alias("span"))
+    longer = spans.filter(F.col("span") > ttl_ms).select(key)
+    near = _first(df, [key], order, extra=F.max(arrival).alias("__hi"))
+    near = near.filter(F.col("__hi") - F.col(arrival) <= ttl_ms).select(*df.columns)
+    far = df.join(longer, key, "left_semi")
+    kept = _chain(far.select(key, F.col(arrival).alias("at")), key, ttl_ms, short_run)
+    # Equal (id, arrival) rows are combined before the join, so it has no hot key.
+    chosen = _first(far, [key, arrival], order).join(
+        kept.withColumnRenamed("at", arrival), [key, arrival], "left_semi"
+    )
+    return near.unionByName(chosen.select(*df.columns))
+
+
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str], extra=None) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    by = [c for c in order if c not in keys] or list(order)
+    aggs = [F.min_by(F.struct(*rest), F.struct(*by)).alias("row")] if rest else []
+    aggs += [extra] if extra is not None else []
+    if not aggs:
+        return df.select(*keys).distinct()
+    picked = df.groupBy(*keys).agg(*aggs)
+    return picked.select(*keys, *(["row.*"] if rest else []), *(["__hi"] if extra is not None else []))
+
+
+def _chain(arrivals: DataFrame, key: str, ttl_ms: int, short_run: int) -> DataFrame:
+    """Kept arrival times of ids whose arrivals span more than one TTL.
 
     1. Copies at one millisecond cannot both be kept, so they are combined before
        the shuffle.
@@ -48,16 +70,11 @@ def dedup_ttl(
     3. A run of few arrivals is walked as an array. A longer run is packed into one
        bitmap per 32.8 s and streamed page by page, so its size depends on the time
        it spans (about 10 MB a day) and not on its number of rows.
-
-    ``tie`` picks the row among equal (id, arrival); by default any full duplicate
-    of that pair is taken as one row.
     """
-    tie_value = F.lit(0) if tie is None else tie
-    rows = df.withColumn("__tie", tie_value)
-    seen = rows.groupBy(key, F.col(arrival).alias("at")).agg(F.min("__tie").alias("__tie"))
+    seen = arrivals.groupBy(key, "at").agg(F.count("*").alias("n"))
     slot = (F.col("at") - F.pmod(F.col("at"), F.lit(max(ttl_ms, 1)))).alias("slot")
     slots = seen.groupBy(key, slot).agg(
-        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("n")
+        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("n").alias("n")
     )
     per_id = Window.partitionBy(key).orderBy("slot")
     gap = F.col("lo") - F.lag("hi").over(per_id)
@@ -67,28 +84,24 @@ def dedup_ttl(
         .withColumn("run_rows", F.sum("n").over(Window.partitionBy(key, "run")))
         .select(key, "slot", "run", "run_rows")
     )
-    placed = seen.withColumn("slot", slot).join(runs, [key, "slot"])
-    kept = _walk_short(placed.filter(F.col("run_rows") <= short_run), key, ttl_ms).unionByName(
+    placed = seen.filter(F.col("n") > 0).withColumn("slot", slot).join(runs, [key, "slot"])
+    return _walk_short(placed.filter(F.col("run_rows") <= short_run), key, ttl_ms).unionByName(
         _walk_long(placed.filter(F.col("run_rows") > short_run), key, ttl_ms)
     )
-    chosen = kept.withColumnRenamed("at", arrival)
-    out = rows.join(chosen, [key, arrival, "__tie"], "left_semi")
-    if tie is None:
-        out = out.dropDuplicates([key, arrival])
-    return out.select(*df.columns)
 
 
 def _walk_short(placed: DataFrame, key: str, ttl_ms: int) -> DataFrame:
     walked = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("at", "__tie"))),
-        F.array().cast("array<struct<at:bigint,__tie:bigint>>"),
-        lambda kept, x: F.when(
-            (F.size(kept) == 0) | (x["at"] > F.get(kept, F.size(kept) - 1)["at"] + ttl_ms),
-            F.array_append(kept, x),
+        F.array_sort(F.collect_list("at")),
+        F.array().cast("array<bigint>"),
+        lambda kept, at: F.when(
+            (F.size(kept) == 0) | (at > F.get(kept, F.size(kept) - 1) + ttl_ms),
+            F.array_append(kept, at),
         ).otherwise(kept),
     )
-    typed = placed.withColumns({"at": F.col("at").cast("long"), "__tie": F.col("__tie").cast("long")})
-    return typed.groupBy(key, "run").agg(walked.alias("kept")).select(key, F.inline("kept"))
+    return placed.groupBy(key, "run").agg(walked.alias("kept")).select(
+        key, F.explode("kept").alias("at")
+    )
 
 
 def _walk_long(placed: DataFrame, key: str, ttl_ms: int) -> DataFrame:
@@ -118,6 +131,4 @@ def _walk_long(placed: DataFrame, key: str, ttl_ms: int) -> DataFrame:
             yield pd.DataFrame({key: ids, "at": times})
 
     id_type = pages.schema[key].dataType.simpleString()
-    kept = pages.mapInPandas(walk, f"`{key}` {id_type}, at long")
-    ties = placed.select(key, "at", F.col("__tie").cast("long").alias("__tie"))
-    return kept.join(ties, [key, "at"]).select(key, "at", "__tie")
+    return pages.mapInPandas(walk, f"`{key}` {id_type}, at long")

@@ -4,26 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import DELAY_EDGES_MS, bucket_index, window_start_ms
 
+# Values per band of the percentile search.
+BAND = 60_000
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int = BAND) -> DataFrame:
+    """Rows per group and value, combined before the shuffle; ``band`` = values of one span."""
+    band = window_start_ms(F.col(value), width).alias("band")
+    return df.groupBy(*keys, band, F.col(value).alias("v")).agg(F.count("*").alias("cnt"))
+
 
 def percentile_low(
-    df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], width: int = 60_000
+    df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], width: int = BAND
 ) -> DataFrame:
     """Exact ``sorted[int(p/100*(n-1))]`` per group, as columns ``p<percent>``.
 
-    ``value`` is integral. Equal values are counted before the shuffle, then
-    located in two steps: the band of ``width`` values that holds the rank, then
-    the value inside it. A window task sees at most the bands of one group or the
-    ``width`` distinct values of one band, however many rows the group has.
+    ``value`` is integral. The rank is located in two steps: the band of ``width``
+    values that holds it, then the value inside the band. A window task sees at
+    most the bands of one group or the ``width`` distinct values of one band,
+    however many rows the group has.
     """
-    counts = (
-        df.groupBy(*keys, window_start_ms(F.col(value), width).alias("band"), F.col(value).alias("v"))
-        .agg(F.count("*").alias("cnt"))
-    )
+    return percentile_of_counts(value_counts(df, keys, value, width), keys, percents)
+
+
+def percentile_of_counts(counts: DataFrame, keys: Sequence[str], percents: Sequence[int]) -> DataFrame:
     group = Window.partitionBy(*keys)
     along = group.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     bands = (
@@ -55,38 +64,32 @@ def percentile_low(
     )
 
 
-def histogram_columns(value: str, edges: Sequence[int] = DELAY_EDGES_MS) -> list:
+def histogram_columns(
+    value: str, edges: Sequence[int] = DELAY_EDGES_MS, weight: str | None = None
+) -> list[Column]:
     """One count per delay bucket, ``b0`` to ``b<len(edges)>``, zeros kept."""
     index = bucket_index(F.col(value), edges)
-    return [F.count_if(index == i).alias(f"b{i}") for i in range(len(edges) + 1)]
+    each = F.lit(1) if weight is None else F.col(weight)
+    return [
+        F.sum(F.when(index == i, each).otherwise(F.lit(0))).alias(f"b{i}")
+        for i in range(len(edges) + 1)
+    ]
 
 
 def duplicate_counts(df: DataFrame, interval_ms: int) -> DataFrame:
-    """Second and later arrivals of an id, counted in the interval they arrive in.
-
-    The first arrival of an id is a minimum, so a hot id is combined before the
-    shuffle; everything that is not a first arrival is a duplicate.
-    """
-    at = window_start_ms(F.col("arr"), interval_ms).alias("interval_ms")
-    rows = df.groupBy(at).agg(F.count("*").alias("messages"))
-    firsts = (
-        df.groupBy("event_id").agg(F.min("arr").alias("arr"))
-        .groupBy(at).agg(F.count("*").alias("firsts"))
-    )
-    return (
-        rows.join(firsts, "interval_ms", "left")
-        .withColumn("dups", F.col("messages") - F.coalesce(F.col("firsts"), F.lit(0)))
-        .select("interval_ms", "messages", "dups")
-    )
+    """Second and later arrivals of an id, counted in the interval they arrive in."""
+    rows = df.groupBy(_interval(interval_ms)).agg(F.count("*").alias("messages"))
+    return _with_duplicates(rows, df, interval_ms)
 
 
 def delay_stats(df: DataFrame, interval_ms: int) -> DataFrame:
     """Least, mean and p95 delay per interval of arrival."""
-    timed = _timed(df, interval_ms)
-    basic = timed.groupBy("interval_ms").agg(
-        F.min("delay").alias("min_delay"), F.avg("delay").alias("avg_delay")
+    counts = _delay_counts(df, interval_ms)
+    basic = counts.groupBy("interval_ms").agg(
+        F.min("v").alias("min_delay"),
+        (F.sum(F.col("v") * F.col("cnt")) / F.sum("cnt")).alias("avg_delay"),
     )
-    return basic.join(percentile_low(timed, ["interval_ms"], "delay", [95]), "interval_ms")
+    return basic.join(percentile_of_counts(counts, ["interval_ms"], [95]), "interval_ms")
 
 
 def delay_report(
@@ -94,20 +97,38 @@ def delay_report(
 ) -> DataFrame:
     """Rate, p50, p95, duplicates and histogram per report interval.
 
-    Counters restart with each interval; which ids were seen does not.
+    Counters restart with each interval; which ids were seen does not. Rate,
+    histogram and percentiles come from one count per interval and delay.
     """
-    timed = _timed(df, interval_ms)
-    hist = timed.groupBy("interval_ms").agg(*histogram_columns("delay", edges))
-    ranks = percentile_low(timed, ["interval_ms"], "delay", [50, 95])
+    counts = _delay_counts(df, interval_ms)
+    basic = counts.groupBy("interval_ms").agg(
+        F.sum("cnt").alias("messages"), *histogram_columns("v", edges, "cnt")
+    )
     return (
-        duplicate_counts(df, interval_ms)
+        _with_duplicates(basic, df, interval_ms)
         .withColumn("rate", F.col("messages") / F.lit(interval_ms / 1000))
-        .join(ranks, "interval_ms").join(hist, "interval_ms")
+        .join(percentile_of_counts(counts, ["interval_ms"], [50, 95]), "interval_ms")
     )
 
 
-def _timed(df: DataFrame, interval_ms: int) -> DataFrame:
-    return df.select(
-        window_start_ms(F.col("arr"), interval_ms).alias("interval_ms"),
-        (F.col("arr") - F.col("ms")).alias("delay"),
+def _interval(interval_ms: int) -> Column:
+    return window_start_ms(F.col("arr"), interval_ms).alias("interval_ms")
+
+
+def _delay_counts(df: DataFrame, interval_ms: int) -> DataFrame:
+    timed = df.select(_interval(interval_ms), (F.col("arr") - F.col("ms")).alias("delay"))
+    return value_counts(timed, ["interval_ms"], "delay")
+
+
+def _with_duplicates(basic: DataFrame, df: DataFrame, interval_ms: int) -> DataFrame:
+    """Add ``dups``. The first arrival of an id is a minimum, so a hot id is combined
+    before the shuffle; everything that is not a first arrival is a duplicate."""
+    firsts = (
+        df.groupBy("event_id").agg(F.min("arr").alias("arr"))
+        .groupBy(_interval(interval_ms)).agg(F.count("*").alias("firsts"))
+    )
+    return (
+        basic.join(firsts, "interval_ms", "left")
+        .withColumn("dups", F.col("messages") - F.coalesce(F.col("firsts"), F.lit(0)))
+        .drop("firsts")
     )

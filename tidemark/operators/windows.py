@@ -50,12 +50,3 @@ def agg_changelog(
         .withColumn("key", composite_key(F.col("window_start_ms"), F.col("symbol")))
     )
 
-
-def with_offsets(df: DataFrame, order: Sequence[str] = ("arr", "event_id")) -> DataFrame:
-    """Add ``offset``: the position of each row in the arrival order, from 0."""
-    placed = with_order_buckets(df, *order)
-    return (
-        running(placed, order, {"offset": ("sum", F.lit(1))})
-        .withColumn("offset", F.col("offset") - 1)
-        .drop(BUCKET)
-    )

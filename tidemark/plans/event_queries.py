@@ -8,7 +8,7 @@ from tidemark.functions.scalars import (
     bucket_index, clamp, composite_key, iso_utc, padded_id, window_start_ms,
 )
 from tidemark.operators.arrival import (
-    class_counts, close_lags, late_rows, running_watermark, strict_windows, timeliness,
+    ORDER, class_counts, close_lags, late_rows, running_watermark, strict_windows, timeliness,
 )
 from tidemark.operators.clean import parse_json, rejected, require_fields
 from tidemark.operators.dedup import dedup_ttl, first_arrivals
@@ -17,7 +17,7 @@ from tidemark.operators.delays import (
 )
 from tidemark.operators.latest import append_loads, compacted, latest_per_key
 from tidemark.operators.lookup import already_seen, unseen
-from tidemark.operators.windows import agg_changelog, tumbling_agg, with_offsets
+from tidemark.operators.windows import agg_changelog, tumbling_agg
 from tidemark.plans.arrivals import HOUR, MINUTE, arrivals, with_times
 from tidemark.plans.oracle import S, dedup, watermark
 from tidemark.plans.registry import query
@@ -149,11 +149,10 @@ def _(spark, folder):
 
 
 def _compacted_log(spark, folder):
-    """The changelog as a keyed log; some values are null."""
+    """The changelog as a keyed log in arrival order; some values are null."""
     log = agg_changelog(arrivals(spark, folder).drop("user_id"), HOUR)
     value = F.when(F.col("event_id") % 50 != 0, F.to_json(F.struct("count", "sum_qty")))
-    ranked = with_offsets(log.select("event_id", "arr", "key", value.alias("value")))
-    return ranked.withColumn("partition", F.lit(0))
+    return log.select("arr", "event_id", "key", value.alias("value"))
 
 
 _COMPACTED = f"""WITH {S}, {_CHANGELOG},
@@ -171,12 +170,12 @@ latest AS (
 
 @query("compacted_latest", f"{_COMPACTED} SELECT key, value FROM latest")
 def _(spark, folder):
-    return compacted(_compacted_log(spark, folder))
+    return compacted(_compacted_log(spark, folder), ORDER)
 
 
 @query("compacted_first10", f"{_COMPACTED} SELECT key, value FROM latest ORDER BY key LIMIT 10")
 def _(spark, folder):
-    return compacted(_compacted_log(spark, folder)).orderBy("key").limit(10)
+    return compacted(_compacted_log(spark, folder), ORDER).orderBy("key").limit(10)
 
 
 @query("window_start", f"""SELECT event_id, epoch_us(ts) // 1000 // 60000 * 60000 AS start_60s,

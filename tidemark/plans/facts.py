@@ -1,18 +1,18 @@
 """Order facts over the sales tables.
 
 Every step joins one dimension, so a query takes only those it needs. Money is
-decimal until the last step; results are doubles.
+in cents and rates in ten-thousandths (longs) until the last step, so sums are
+exact in any order; results are doubles in currency units.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import RATE, money, round_money
+from tidemark.functions.scalars import cents, rate, share
 from tidemark.sources.readers import table
 
 # Status of an order line.
@@ -32,8 +32,6 @@ def order_lines(spark: SparkSession, folder: str, only: str | None = None) -> Da
 
 def lines_of(source: DataFrame) -> DataFrame:
     """Order lines, batch or stream, with the measures that need no other table."""
-    gross = money(F.col("l_extendedprice"))
-    pct = F.col("l_discount").cast(RATE)
     status = F
     for flag, name in STATUS.items():
         status = status.when(F.col("l_returnflag") == flag, F.lit(name))
@@ -44,14 +42,18 @@ def lines_of(source: DataFrame) -> DataFrame:
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_shipdate").alias("event_time"),
-        gross.alias("gross"),
-        pct.alias("discount_pct"),
-        round_money(gross * F.col("l_tax").cast(RATE)).alias("shipping"),
+        cents(F.col("l_extendedprice")).alias("gross"),
+        rate(F.col("l_discount")).alias("discount_rate"),
+        rate(F.col("l_tax")).alias("shipping_rate"),
         status.alias("status"),
     )
-    return lines.withColumn(
-        "discount_amount", round_money(F.col("gross") * F.col("discount_pct"))
-    ).withColumn("net_revenue", money(F.col("gross") - F.col("discount_amount") + F.col("shipping")))
+    charged = lines.withColumns({
+        "discount_amount": share(F.col("gross"), F.col("discount_rate")),
+        "shipping": share(F.col("gross"), F.col("shipping_rate")),
+    })
+    return charged.withColumn(
+        "net_revenue", F.col("gross") - F.col("discount_amount") + F.col("shipping")
+    )
 
 
 def with_product(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
@@ -59,10 +61,10 @@ def with_product(lines: DataFrame, spark: SparkSession, folder: str) -> DataFram
     part = table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_type").alias("category"),
-        ((40 + F.col("p_size") % 30) * F.lit(Decimal("0.01"))).cast(RATE).alias("cogs_rate"),
+        ((40 + F.col("p_size") % 30) * 100).cast("long").alias("cogs_rate"),
     )
     return lines.join(part, "product_id").withColumn(
-        "cogs", round_money(F.col("gross") * F.col("cogs_rate"))
+        "cogs", share(F.col("gross"), F.col("cogs_rate"))
     )
 
 
@@ -100,12 +102,12 @@ def targets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def risk_columns(
-    discount_pct: Column, category: Column, deep_discount: float, categories: Sequence[str]
+    discount_rate: Column, category: Column, deep_rate: int, categories: Sequence[str]
 ) -> dict[str, Column]:
     """Likelihood of cancellation and of return."""
     return {
         "p_cancel": F.lit(CANCEL_BASE)
-        + F.when(discount_pct >= deep_discount, F.lit(CANCEL_DEEP)).otherwise(F.lit(0.0)),
+        + F.when(discount_rate >= deep_rate, F.lit(CANCEL_DEEP)).otherwise(F.lit(0.0)),
         "p_return": F.lit(RETURN_BASE)
         + F.when(category.isin(*categories), F.lit(RETURN_CATEGORY)).otherwise(F.lit(0.0)),
     }

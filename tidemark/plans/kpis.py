@@ -10,13 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import RATE_UNIT, units
 from tidemark.plans.facts import order_lines, with_channel, with_product
 
 
-def _double(value: Column) -> Column:
-    return value.cast("double")
-
-
 def _paid(value: Column) -> Column:
     return F.coalesce(F.sum(F.when(F.col("status") == "PAID", value)), F.lit(0))
 
@@ -32,29 +29,29 @@ def executive(lines: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("orders"),
     )
     return sums.select(
-        _double(F.col("g")).alias("gmv"),
-        _double(F.col("p")).alias("net_profit"),
-        F.try_divide(_double(F.col("g")), F.col("orders")).alias("avg_ticket"),
+        units(F.col("g")).alias("gmv"),
+        units(F.col("p")).alias("net_profit"),
+        F.try_divide(units(F.col("g")), F.col("orders")).alias("avg_ticket"),
     )
 
 
 def sales(lines: DataFrame) -> DataFrame:
     """Distinct orders, gross per order, mean discount rate over lines."""
     sums = lines.agg(
-        F.sum("gross").alias("g"), F.sum("discount_pct").alias("d"), F.count("*").alias("n"),
+        F.sum("gross").alias("g"), F.sum("discount_rate").alias("d"), F.count("*").alias("n"),
         F.count_distinct("order_id").alias("orders"),
     )
     return sums.select(
         "orders",
-        F.try_divide(_double(F.col("g")), F.col("orders")).alias("avg_ticket"),
-        F.try_divide(_double(F.col("d")), F.col("n")).alias("avg_discount"),
+        F.try_divide(units(F.col("g")), F.col("orders")).alias("avg_ticket"),
+        F.try_divide(F.col("d") / F.lit(float(RATE_UNIT)), F.col("n")).alias("avg_discount"),
     )
 
 
 def control(lines: DataFrame) -> DataFrame:
     """Gross margin = (revenue - cost) / revenue, null without revenue; cost. PAID lines."""
     sums = lines.agg(_paid(F.col("net_revenue")).alias("r"), _paid(F.col("cogs")).alias("c"))
-    revenue, cost = _double(F.col("r")), _double(F.col("c"))
+    revenue, cost = units(F.col("r")), units(F.col("c"))
     return sums.select(
         F.try_divide(revenue - cost, revenue).alias("gross_margin"), cost.alias("cost")
     )
@@ -64,8 +61,8 @@ def discount_impact(lines: DataFrame) -> DataFrame:
     """Discount granted and its share of gross value."""
     sums = lines.agg(F.sum("discount_amount").alias("d"), F.sum("gross").alias("g"))
     return sums.select(
-        _double(F.col("d")).alias("discount_total"),
-        F.try_divide(_double(F.col("d")), _double(F.col("g"))).alias("discount_share"),
+        units(F.col("d")).alias("discount_total"),
+        F.try_divide(units(F.col("d")), units(F.col("g"))).alias("discount_share"),
     )
 
 
@@ -81,7 +78,7 @@ def cancel_return(lines: DataFrame) -> DataFrame:
     rows = [
         F.struct(
             F.lit(s).alias("status"), F.col(f"n_{s}").alias("lines"),
-            _double(F.col(f"g_{s}")).alias("gross_value"),
+            units(F.col(f"g_{s}")).alias("gross_value"),
             F.try_divide(F.col(f"n_{s}"), F.col("all")).alias("rate"),
         )
         for s in names
@@ -96,14 +93,14 @@ def gmv_by_seller(lines: DataFrame) -> DataFrame:
 def named_gmv_by_seller(lines: DataFrame, sellers_dim: DataFrame) -> DataFrame:
     return (
         gmv_by_seller(lines).join(sellers_dim, "seller_id")
-        .select("seller_id", "seller_name", _double(F.col("g")).alias("gmv"))
+        .select("seller_id", "seller_name", units(F.col("g")).alias("gmv"))
     )
 
 
 def gmv_by_store(lines: DataFrame, sellers_dim: DataFrame) -> DataFrame:
     return (
         gmv_by_seller(lines).join(sellers_dim, "seller_id")
-        .groupBy("store", "region").agg(_double(F.sum("g")).alias("gmv"))
+        .groupBy("store", "region").agg(units(F.sum("g")).alias("gmv"))
     )
 
 
@@ -113,18 +110,18 @@ def ranked_sellers(lines: DataFrame, n: int, best: bool) -> DataFrame:
     few = gmv_by_seller(lines).orderBy(*order).limit(n)
     return few.select(
         F.row_number().over(Window.orderBy(*order)).cast("long").alias("rank"), "seller_id",
-        _double(F.col("g")).alias("gmv"),
+        units(F.col("g")).alias("gmv"),
     )
 
 
 def actuals_by_seller(lines: DataFrame) -> DataFrame:
     return lines.groupBy("seller_id").agg(
-        _double(F.sum("gross")).alias("gmv"), F.count_distinct("order_id").alias("orders")
+        units(F.sum("gross")).alias("gmv"), F.count_distinct("order_id").alias("orders")
     )
 
 
 def profit_by_category(paid_lines: DataFrame) -> DataFrame:
-    return paid_lines.groupBy("category").agg(_double(F.sum(_profit())).alias("net_profit"))
+    return paid_lines.groupBy("category").agg(units(F.sum(_profit())).alias("net_profit"))
 
 
 def profit_by_channel(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,7 +130,7 @@ def profit_by_channel(spark: SparkSession, folder: str) -> DataFrame:
     per_order = paid.groupBy("order_id").agg(F.sum(_profit()).alias("profit"))
     return (
         with_channel(per_order, spark, folder)
-        .groupBy("channel").agg(_double(F.sum("profit")).alias("net_profit"))
+        .groupBy("channel").agg(units(F.sum("profit")).alias("net_profit"))
     )
 
 
@@ -147,7 +144,7 @@ def gold_by_seller_channel(spark: SparkSession, folder: str) -> DataFrame:
     )
     return sums.select(
         "seller_id", "channel",
-        _double(F.col("g")).alias("gmv_total"),
-        (_double(F.col("g")) / F.col("eventos")).alias("ticket_medio"),
+        units(F.col("g")).alias("gmv_total"),
+        (units(F.col("g")) / F.col("eventos")).alias("ticket_medio"),
         "eventos",
     )

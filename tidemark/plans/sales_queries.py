@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import round_money
+from tidemark.functions.scalars import RATE_UNIT, cents, rate, share, units
 from tidemark.operators.lookup import target_vs_actual, with_targets
 from tidemark.plans import kpis
 from tidemark.plans.bronze import (
@@ -79,7 +79,7 @@ FROM f GROUP BY 1""")
 def _(spark, folder):
     lines = with_channel(order_lines(spark, folder).select("order_id", "gross"), spark, folder)
     sums = gmv_by_channel(lines.withColumnRenamed("gross", "gmv"))
-    return sums.withColumn("gmv_total", F.col("gmv_total").cast("double"))
+    return sums.withColumn("gmv_total", units(F.col("gmv_total")))
 
 
 @query("derive_gmv", """SELECT l_orderkey, l_linenumber,
@@ -118,9 +118,9 @@ def _(spark, folder):
 @query("round_money", """SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_extendedprice AS DECIMAL(12,2))
 * CAST(l_discount AS DECIMAL(5,4)), 2) AS DOUBLE) AS amount FROM lineitem""")
 def _(spark, folder):
-    product = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(5,4)")
+    amount = share(cents(F.col("l_extendedprice")), rate(F.col("l_discount")))
     return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", round_money(product).cast("double").alias("amount")
+        "l_orderkey", "l_linenumber", units(amount).alias("amount")
     )
 
 
@@ -135,7 +135,7 @@ def _(spark, folder):
     lines = with_product(order_lines(spark, folder), spark, folder)
     return lines.select(
         "order_id", "line_number", "seller_id", "status",
-        *[F.col(m).cast("double").alias(m) for m in _MEASURES],
+        *[units(F.col(m)).alias(m) for m in _MEASURES],
     )
 
 
@@ -146,11 +146,12 @@ ROUND(CAST(0.05 AS DOUBLE) + CASE WHEN category IN {RISK_CATEGORIES} THEN CAST(0
 AS p_return FROM f""")
 def _(spark, folder):
     lines = with_product(
-        order_lines(spark, folder).select("order_id", "line_number", "product_id", "gross", "discount_pct"),
+        order_lines(spark, folder).select("order_id", "line_number", "product_id", "gross", "discount_rate"),
         spark, folder,
     )
-    deep = F.lit(DEEP_DISCOUNT).cast("decimal(5,4)")
-    risks = risk_columns(F.col("discount_pct"), F.col("category"), deep, RISK_CATEGORIES)
+    risks = risk_columns(
+        F.col("discount_rate"), F.col("category"), round(DEEP_DISCOUNT * RATE_UNIT), RISK_CATEGORIES
+    )
     return lines.select("order_id", "line_number", *[F.round(c, 6).alias(n) for n, c in risks.items()])
 
 
@@ -161,7 +162,7 @@ def _(spark, folder):
     star = with_channel(with_product(lines, spark, folder), spark, folder)
     return star.join(sellers(spark, folder), "seller_id").select(
         "order_id", "line_number", "seller_name", "store", "region", "channel", "category",
-        F.col("gross").cast("double").alias("gross"),
+        units(F.col("gross")).alias("gross"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import composite_key
+from tidemark.functions.scalars import composite_key, units
 from tidemark.operators.windows import tumbling_agg
 from tidemark.plans.arrivals import HOUR, arrivals, arrivals_of
 from tidemark.plans.event_queries import LATEST, TUMBLING, WAIT
@@ -155,7 +155,7 @@ def _(spark, folder):
     )
     return spark.read.parquet(f"{path}/out").groupBy(
         F.col("order_month").cast("string").alias("order_month")
-    ).agg(F.count("*").alias("lines"), F.sum("gross").cast("double").alias("gross"))
+    ).agg(F.count("*").alias("lines"), units(F.sum("gross")).alias("gross"))
 
 
 @query("kpi_stream", EXECUTIVE)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tidemark.functions.scalars import units
 from tidemark.operators.latest import latest_per_key
 from tidemark.streaming.runs import batch_path, complete_batches, read_batches, write_batch
 
@@ -65,12 +66,12 @@ def kpi_snapshot(spark: SparkSession, sums_path: str, orders_path: str) -> DataF
     done = complete_batches(spark, sums_path)
     if not done:
         return None
-    sums = spark.read.parquet(batch_path(sums_path, done[-1]))
-    orders = read_batches(spark, orders_path).agg(F.sum("orders").alias("orders"))
-    gmv = F.col("g").cast("double")
-    # One row beside one row.
-    return sums.withColumn("one", F.lit(1)).join(orders.withColumn("one", F.lit(1)), "one").select(
-        gmv.alias("gmv"),
-        F.col("p").cast("double").alias("net_profit"),
-        F.try_divide(gmv, F.col("orders")).alias("avg_ticket"),
+    sums = spark.read.parquet(batch_path(sums_path, done[-1])).withColumn("orders", F.lit(0))
+    orders = read_batches(spark, orders_path).select("orders")
+    both = sums.unionByName(orders, allowMissingColumns=True).agg(
+        units(F.max("g")).alias("gmv"), units(F.max("p")).alias("net_profit"),
+        F.sum("orders").alias("orders"),
+    )
+    return both.select(
+        "gmv", "net_profit", F.try_divide(F.col("gmv"), F.col("orders")).alias("avg_ticket")
     )
