@@ -92,5 +92,5 @@ def parse_symbols(text: Column) -> Column:
         F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
                     lambda i: F.concat(F.lit("SYM"), i.cast("string"))),
     ).otherwise(F.array().cast("array<string>"))
-    listed = F.filter(F.transform(F.split(text, ","), F.trim), lambda s: F.length(s) > 0)
+    listed = F.filter(F.transform(F.split(text, ","), lambda s: F.trim(s)), lambda s: F.length(s) > 0)
     return F.when(F.trim(text).rlike("^[0-9]+$"), numbered).otherwise(listed)
