@@ -118,6 +118,18 @@ def test_parse_symbols(spark, text, want):
     assert df.select(S.parse_symbols(F.col("t")).alias("s")).first().s == want
 
 
+def test_ids(spark):
+    df = spark.range(4)
+    random = df.withColumn("u", S.random_id())
+    assert random.select("u").distinct().count() == 4
+    stable = df.select(S.row_id(F.col("id"), F.lit("x")).alias("u"))
+    assert as_rows(stable) == as_rows(stable) and stable.distinct().count() == 4
+
+
+def as_rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
 def test_gold_of_the_fixed_ranges(spark):
     wide = bronze_sql_style(readers.number_range(spark, 1, 41))
     assert wide.count() == 40 and dict(wide.dtypes)["qty"] == "int"

@@ -15,7 +15,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.readers import json_stream, kafka_stream
 from tidemark.streaming import tables, windows
 from tidemark.streaming.runs import (
-    complete_batches, disk_state, read_batches, run_available, run_continuously, write_batch,
+    complete_batches, disk_state, read_batches, run_available, run_continuously, state_figures, write_batch,
 )
 from test_fixtures import ORDER_SCHEMA, upsert_loads
 
@@ -107,20 +107,26 @@ def test_upsert_stream(spark):
     path = scratch_path(spark, "test-upsert")
     keys, version = ["order_id"], ["event_time"]
     run_loads(spark, upsert_loads(spark), path,
-              lambda s: tables.upsert_writer(s, f"{path}/out", keys, version))
-    rows = tables.read_upsert(spark, f"{path}/out", keys, version)
+              lambda s: tables.upsert_writer(s, path, keys, version))
+    rows = tables.read_upsert(spark, path, keys, version)
     assert rows.count() == 12
     assert rows.filter("order_id = 3").first().status == "PAID"
-    tables.compact_upsert(spark, f"{path}/out", f"{path}/base", keys, version)
-    assert as_set(tables.read_upsert(spark, f"{path}/base", keys, version)) == as_set(rows)
+    before = as_set(rows)
+    tables.compact_upsert(spark, path, keys, version)
+    assert as_set(tables.read_upsert(spark, path, keys, version)) == before
+    more = spark.createDataFrame([(4, "C004", "PAID", 1.0, 1_730_000_009_999)], ORDER_SCHEMA)
+    run_loads(spark, [more], path, lambda s: tables.upsert_writer(s, path, keys, version))
+    rows = tables.read_upsert(spark, path, keys, version)
+    assert rows.count() == 12
+    assert rows.filter("order_id = 4").first().status == "PAID"
 
 
 def test_equal_versions_take_the_later_batch(spark):
     path = scratch_path(spark, "test-ties")
     frames = [spark.createDataFrame([(1, "C1", s, 1.0, 5)], ORDER_SCHEMA) for s in ("CREATED", "PAID")]
     run_loads(spark, frames, path,
-              lambda s: tables.upsert_writer(s, f"{path}/out", ["order_id"], ["event_time"]))
-    assert tables.read_upsert(spark, f"{path}/out", ["order_id"], ["event_time"]).first().status == "PAID"
+              lambda s: tables.upsert_writer(s, path, ["order_id"], ["event_time"]))
+    assert tables.read_upsert(spark, path, ["order_id"], ["event_time"]).first().status == "PAID"
 
 
 def test_kpi_snapshot_over_batches(spark, small):
@@ -160,6 +166,22 @@ def test_continuous_run(spark):
     assert read_batches(spark, f"{path}/out").count() == 3
 
 
+def test_state_figures(spark):
+    disk_state(spark)
+    path = scratch_path(spark, "test-state")
+    times = [(i, 3_600_000 + i * 60_000) for i in range(10)] + [(10, 3_600_000)]
+    stream_rows = spark.createDataFrame(times, "event_id long, ms long")
+    found = []
+    for load in (stream_rows.filter("event_id < 10"), stream_rows.filter("event_id = 10")):
+        load.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(load.schema).parquet(f"{path}/in")
+        once = windows.dedup_within(windows.with_event_time(stream, "ms"), "event_id", "1 minute")
+        writer = windows.idempotent_writer(once, f"{path}/out")
+        found += state_figures(run_available(writer, f"{path}/checkpoint", timeout_s=300))
+    assert sum(f["late_rows"] for f in found) == 1
+    assert max(f["state_rows"] for f in found) == 10
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(RuntimeError, match="connector"):
         kafka_stream(spark, "localhost:1", "t", spark.range(0).schema)

@@ -62,6 +62,15 @@ def iso_utc(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def random_id() -> Column:
+    """A random id per row; :func:`row_id` where a re-run must give the same one."""
+    return F.expr("uuid()")
+
+
+def row_id(*parts: Column) -> Column:
+    return F.sha2(composite_key(*parts), 256)
+
+
 def cents(value: Column) -> Column:
     """Money of two places as a whole number of cents: exact sums, cheap arithmetic."""
     return F.rint(value * CENT).cast("long")

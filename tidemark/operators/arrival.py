@@ -25,9 +25,12 @@ STEPS_PER_BUCKET = 1024
 
 
 def running_watermark(
-    df: DataFrame, wait_ms: int, order: Sequence[str] = ORDER, buckets: int | None = None
+    df: DataFrame, wait_ms: int = 0, order: Sequence[str] = ORDER, buckets: int | None = None
 ) -> DataFrame:
-    """Add ``max_ms`` (running maximum of event time) and ``watermark_ms``."""
+    """Add ``max_ms`` (running maximum of event time) and ``watermark_ms``.
+
+    Placing the buckets reads the order columns of ``df`` once, ahead of the plan.
+    """
     placed = with_order_buckets(df, *order, buckets=buckets)
     return (
         running(placed, order, {"max_ms": ("max", F.col("ms"))})
@@ -49,7 +52,9 @@ def on_time_rows(marked: DataFrame) -> DataFrame:
     return marked.filter(~is_late())
 
 
-def strict_windows(marked: DataFrame, size_ms: int, keys: Sequence[str], amount: Column) -> DataFrame:
+def strict_windows(
+    marked: DataFrame, size_ms: int = 10_000, keys: Sequence[str] = ("user",), amount: Column | str = "amount"
+) -> DataFrame:
     """Tumbling count and sum of the records that were not late.
 
     The end of the input closes every window, so all of them are returned.
@@ -63,7 +68,7 @@ def strict_windows(marked: DataFrame, size_ms: int, keys: Sequence[str], amount:
     )
 
 
-def timeliness(on_time_ms: int) -> Column:
+def timeliness(on_time_ms: int = 60_000) -> Column:
     """red: behind the watermark; else orange: delayed too long; else green."""
     return (
         F.when(is_late(), "red")

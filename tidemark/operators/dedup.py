@@ -67,26 +67,32 @@ def _chain(arrivals: DataFrame, key: str, ttl_ms: int, short_run: int) -> DataFr
        the shuffle.
     2. A gap longer than the TTL restarts the chain. Gaps are found on one row per
        id and TTL slot, and cut an id's arrivals into independent runs.
-    3. A run of few arrivals is walked as an array. A longer run is packed into one
-       bitmap per 32.8 s and streamed page by page, so its size depends on the time
-       it spans (about 10 MB a day) and not on its number of rows.
+    3. A run no longer than the TTL keeps its first arrival, which starts it.
+    4. A longer run of few arrivals is walked as an array. One of many is packed
+       into one bitmap per 32.8 s and streamed page by page, so its size depends on
+       the time it spans (about 10 MB a day) and not on its number of rows.
     """
-    seen = arrivals.groupBy(key, "at").agg(F.count("*").alias("n"))
+    seen = arrivals.distinct()
     slot = (F.col("at") - F.pmod(F.col("at"), F.lit(max(ttl_ms, 1)))).alias("slot")
     slots = seen.groupBy(key, slot).agg(
-        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("n").alias("n")
+        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("n")
     )
     per_id = Window.partitionBy(key).orderBy("slot")
+    per_run = Window.partitionBy(key, "run")
     gap = F.col("lo") - F.lag("hi").over(per_id)
     runs = (
         slots.withColumn("start", F.when(F.coalesce(gap > ttl_ms, F.lit(True)), F.col("lo")))
         .withColumn("run", F.max("start").over(per_id.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("run_rows", F.sum("n").over(Window.partitionBy(key, "run")))
-        .select(key, "slot", "run", "run_rows")
+        .withColumn("run_rows", F.sum("n").over(per_run))
+        .withColumn("long", F.max("hi").over(per_run) - F.col("run") > ttl_ms)
     )
-    placed = seen.filter(F.col("n") > 0).withColumn("slot", slot).join(runs, [key, "slot"])
-    return _walk_short(placed.filter(F.col("run_rows") <= short_run), key, ttl_ms).unionByName(
-        _walk_long(placed.filter(F.col("run_rows") > short_run), key, ttl_ms)
+    starts = runs.filter(~F.col("long") & (F.col("lo") == F.col("run"))).select(key, F.col("run").alias("at"))
+    longer = runs.filter("long").select(key, "slot", "run", "run_rows")
+    placed = seen.withColumn("slot", slot).join(longer, [key, "slot"])
+    few = F.col("run_rows") <= short_run
+    return (
+        starts.unionByName(_walk_short(placed.filter(few), key, ttl_ms))
+        .unionByName(_walk_long(placed.filter(~few), key, ttl_ms))
     )
 
 

@@ -219,7 +219,7 @@ def _(spark, folder):
 def _(spark, folder):
     path = scratch_path(spark, "gold-csv")
     gold_rows = _gold_unordered(spark, folder)
-    sinks.write_csv(gold_rows, path)
+    sinks.write_csv(gold_rows.orderBy("seller_id", "channel"), path)
     return read_csv(spark, path, gold_rows.schema)
 
 

@@ -139,8 +139,8 @@ def _(spark, folder):
     path = scratch_path(spark, "upsert")
     stream = parquet_stream(spark, folder, "events").drop("props")
     keys, version = ["user_id"], ["ts", "event_id"]
-    run_available(tables.upsert_writer(stream, f"{path}/out", keys, version), f"{path}/checkpoint")
-    return tables.read_upsert(spark, f"{path}/out", keys, version)
+    run_available(tables.upsert_writer(stream, path, keys, version), f"{path}/checkpoint")
+    return tables.read_upsert(spark, path, keys, version)
 
 
 @query("orders_append", f"""WITH {FACTS} SELECT strftime(event_time, '%Y-%m') AS order_month, COUNT(*) AS lines,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BatchWriter = Callable[[DataFrame, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -18,7 +18,9 @@ def disk_state(spark: SparkSession) -> None:
     spark.conf.set(_PROVIDER, ROCKSDB)
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str, timeout_s: int = 3600) -> None:
+def run_available(
+    writer: DataStreamWriter, checkpoint: str, timeout_s: int = 3600
+) -> StreamingQuery:
     """Process everything that is there, then stop; failures of the query surface."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
@@ -26,11 +28,26 @@ def run_available(writer: DataStreamWriter, checkpoint: str, timeout_s: int = 36
             raise TimeoutError(f"stream did not end in {timeout_s} s")
     finally:
         query.stop()
+    return query
+
+
+def state_figures(query: StreamingQuery) -> list[dict]:
+    """Open state and late drops of each stateful operator, per micro-batch."""
+    return [
+        {
+            "batch_id": progress["batchId"],
+            "input_rows": progress["numInputRows"],
+            "rows_per_second": progress["processedRowsPerSecond"],
+            "state_rows": op["numRowsTotal"],
+            "late_rows": op["numRowsDroppedByWatermark"],
+        }
+        for progress in query.recentProgress for op in progress["stateOperators"]
+    ]
 
 
 def run_continuously(
     writer: DataStreamWriter, checkpoint: str, interval: str = "2 seconds"
-):
+) -> StreamingQuery:
     """A long-running query with a fixed trigger interval."""
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 

@@ -16,28 +16,38 @@ from tidemark.streaming.runs import batch_path, complete_batches, read_batches,
 def upsert_writer(
     stream: DataFrame, path: str, keys: Sequence[str], version: Sequence[str]
 ) -> DataStreamWriter:
-    """Write the newest row per key of each micro-batch; readers merge the batches.
+    """Write the newest row per key of each micro-batch below ``path/log``; readers merge.
 
-    The cost of a batch follows the batch, not the table. :func:`compact_upsert`
-    folds old batches together.
+    The cost of a batch follows the batch, not the table.
     """
     return stream.writeStream.foreachBatch(
-        lambda df, batch_id: write_batch(latest_per_key(df, keys, version), path, batch_id)
+        lambda df, batch_id: write_batch(latest_per_key(df, keys, version), f"{path}/log", batch_id)
     )
 
 
 def read_upsert(
     spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
-    """Newest row per key; of equal versions the later batch wins."""
-    return latest_per_key(read_batches(spark, path), keys, [*version, "batch_id"]).drop("batch_id")
+    """Newest row per key; of equal versions the later batch wins.
+
+    Reads the last compacted base and only the batches after it.
+    """
+    rows = read_batches(spark, f"{path}/log")
+    bases = complete_batches(spark, f"{path}/base")
+    if bases:
+        base = spark.read.parquet(batch_path(f"{path}/base", bases[-1]))
+        rows = rows.filter(F.col("batch_id") > bases[-1]).unionByName(
+            base.withColumn("batch_id", F.lit(bases[-1]).cast("long"))
+        )
+    return latest_per_key(rows, keys, [*version, "batch_id"]).drop("batch_id")
 
 
 def compact_upsert(
-    spark: SparkSession, path: str, target: str, keys: Sequence[str], version: Sequence[str]
+    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str]
 ) -> None:
-    """Write the merged table to a new path as batch -1, to serve as the new base."""
-    write_batch(read_upsert(spark, path, keys, version), target, -1)
+    """Fold all complete batches into a new base; the old base stays until this one is whole."""
+    upto = complete_batches(spark, f"{path}/log")[-1]
+    write_batch(read_upsert(spark, path, keys, version), f"{path}/base", upto)
 
 
 def kpi_sum_writer(lines: DataFrame, path: str) -> DataStreamWriter:
