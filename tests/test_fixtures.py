@@ -54,7 +54,7 @@ def test_close_lag(eight):
     windows = strict_windows(marked, 10_000, ["user"], F.col("amount"))
     lags = {
         (r.user, (r.window_end_ms - BASE) // 1000): r.close_arr
-        for r in close_lags(marked, windows, 10_000).collect()
+        for r in close_lags(eight, windows, 10_000, 5_000).collect()
     }
     # record 5 (16 s) brings the watermark to 11 s, record 7 (26 s) to 21 s; nothing reaches 30 s
     assert lags == {("alice", 10): BASE + 5, ("bob", 10): BASE + 5,

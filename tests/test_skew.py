@@ -148,7 +148,7 @@ def test_close_lags(spark):
     for r in sorted(rows, key=lambda r: (r[1], r[0])):
         top = r[2] if top is None else max(top, r[2])
         closing.append((r[1], top - 30_000))
-    for r in close_lags(marked, windows, 20_000).collect():
+    for r in close_lags(df, windows, 20_000, 30_000).collect():
         assert r.close_arr == next((arr for arr, mark in closing if mark >= r.window_end_ms), None)
 
 

@@ -84,23 +84,27 @@ def class_counts(classed: DataFrame, column: str = "color") -> DataFrame:
     return wide.select(F.inline(pairs), F.col("red").alias("dlq_count"))
 
 
-def close_lags(marked: DataFrame, windows: DataFrame, size_ms: int) -> DataFrame:
+def close_lags(rows: DataFrame, windows: DataFrame, size_ms: int, wait_ms: int = 0) -> DataFrame:
     """Arrival of the record that closed each window, minus the window end.
 
-    The closing record is the first whose watermark reaches the end. The
-    watermark never falls along the arrival order, so per step of ``size_ms``
-    only the earliest arrival matters, and a minimum over all later steps gives
-    the answer without a range join. Steps are unique, so spans of equal width
-    serve as the buckets of that scan. Windows closed by the end of the input
-    have no lag (null).
+    The watermark reaches a window end with the first record whose own event time
+    is the wait past it, so the closing arrival is a minimum over those records and
+    needs no running watermark. It is taken per step of ``size_ms`` and then over
+    all later steps, without a range join. Steps are unique, so spans of equal
+    width serve as the buckets of that scan. Windows closed by the end of the
+    input have no lag (null).
     """
-    steps = (
-        marked.groupBy(window_start_ms(F.col("watermark_ms"), size_ms).alias("window_end_ms"))
-        .agg(F.min("arr").alias("arr"))
+    reached = F.struct(
+        window_start_ms(F.col("ms") - F.lit(wait_ms), size_ms).alias("window_end_ms"),
+        F.col("arr").alias("arr"),
+    )
+    asked = F.struct(
+        (window_start_ms(F.col("ms"), size_ms) + size_ms).alias("window_end_ms"),
+        F.lit(None).cast("long").alias("arr"),
     )
-    asked = windows.select("window_end_ms").distinct().withColumn("arr", F.lit(None).cast("long"))
     frame = (
-        steps.unionByName(asked).groupBy("window_end_ms").agg(F.min("arr").alias("arr"))
+        rows.select(F.inline(F.array(reached, asked)))
+        .groupBy("window_end_ms").agg(F.min("arr").alias("arr"))
         .withColumn("back", -F.col("window_end_ms"))
         .withColumn(BUCKET, window_start_ms(F.col("back"), size_ms * STEPS_PER_BUCKET))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import (
     bucket_index, clamp, composite_key, iso_utc, padded_id, window_start_ms,
@@ -22,7 +23,6 @@ from tidemark.plans.arrivals import HOUR, MINUTE, arrivals, with_times
 from tidemark.plans.oracle import S, dedup, watermark
 from tidemark.plans.registry import query
 from tidemark.sources.readers import table
-from pyspark.sql import types as T
 
 WAIT = 5 * HOUR
 TTL = 10 * MINUTE
@@ -106,9 +106,8 @@ SELECT user_id, w.window_end_ms, count, close_arr - w.window_end_ms AS close_lag
 FROM w LEFT JOIN closes ON w.window_end_ms = closes.window_end_ms""")
 def _(spark, folder):
     rows = arrivals(spark, folder).select("event_id", "user_id", "arr", "ms", "price")
-    marked = running_watermark(rows, WAIT)
-    windows = strict_windows(marked, HOUR, ["user_id"], F.col("price"))
-    return close_lags(marked, windows, HOUR).select(
+    windows = strict_windows(running_watermark(rows, WAIT), HOUR, ["user_id"], F.col("price"))
+    return close_lags(rows, windows, HOUR, WAIT).select(
         "user_id", "window_end_ms", "count", "close_lag_ms"
     )
 
