@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, sharding
-from tidemark.llm.common import table
+from tidemark.llm import bpe, dac, quality, sharding, warc
+from tidemark.llm.common import table, written
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +39,25 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shuffle_to_shards(rows, ["doc_id", "text_crc32", "size"], 8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op5_warc")
+def warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    out = scratch_path(spark, "warc")
+    pages = table(spark, folder, "pages")
+    if written(warc.write_archives(pages, out), "warc-files").isEmpty():  # runs the write; no page, no folder
+        return spark.createDataFrame([], "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return warc.read_archives(spark, out, html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.tokenize(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)
+
+
+@query("op9_token_output")
+def token_output(spark: SparkSession, folder: str) -> DataFrame:
+    files = written(dac.write_ids(
+        table(spark, folder, "documents"), scratch_path(spark, "dac"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN, end=2), "dac-files")
+    return dac.read_ids(files)
