@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, dac, quality, sharding, warc
-from tidemark.llm.common import table, written
+from tidemark.llm import bpe, ctw, dac, jaccard, quality, sharding, toxicity, warc
+from tidemark.llm.common import crc_bucket, table, written
 from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,24 @@ def token_output(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), scratch_path(spark, "dac"), public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.PATTERN, end=2), "dac-files")
     return dac.read_ids(files)
+
+
+@query("op4_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_toxicity")
+def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    found = toxicity.score(docs, model, keep=["doc_id"])
+    return found.select("doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op7_context_tree")
+def context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = ctw.score_texts(docs, ~ctw.held_out(F.col("doc_id")))
+    return found.withColumn("held_out", ctw.held_out(F.col("doc_id"))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")
