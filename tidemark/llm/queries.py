@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ctw, dac, jaccard, quality, sharding, toxicity, warc
+from tidemark.llm import bpe, ctw, dac, decontaminate, jaccard, quality, sharding, toxicity, warc
 from tidemark.llm.common import crc_bucket, table, written
 from tidemark.session import scratch_path
 
@@ -82,3 +82,8 @@ def context_tree(spark: SparkSession, folder: str) -> DataFrame:
     found = ctw.score_texts(docs, ~ctw.held_out(F.col("doc_id")))
     return found.withColumn("held_out", ctw.held_out(F.col("doc_id"))).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes")
+
+
+@query("op3_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
