@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ BLOCK = 512
 WIDTHS = (10, 3, 4)
 #: A file is closed at this many ids, a reader decodes about so many at once.
 FILE_IDS, READ_IDS = 8_000_000, 1_000_000
+#: Tasks of the reader at most; each reads one file after the other.
+READERS = 10_000
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -133,48 +135,67 @@ class DacFile:
         return int(self.read(place, place + 1)[0])
 
 
-class Pieces(dict):
-    """Token ids of each piece of text, from the tokenizers library; equal pieces are encoded once, the table is bounded."""
+class WordIds:
+    """Token ids of texts from the tokenizers library, which gets every word once while the tables hold it.
 
-    LIMIT, LONG = 400_000, 64
+    The public pattern always begins a piece at a space before another character, so a text is its first word and the
+    words with a space before them; a comma or full stop after letters is a piece of its own. Texts in which a space
+    comes before white space or the end go to the library whole. Two bounded tables: what is used moves to the younger.
+    """
+
+    LIMIT = 50 << 20
+    ODD = re.compile(r" (?:\s|\Z)")
 
-    def __init__(self, path: str, pattern: str):
-        super().__init__()
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.find = regex.compile(pattern).findall
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        if len(piece) <= self.LONG:
-            if len(self) >= self.LIMIT:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+        self.marks = {mark: self.whole(mark) for mark in ",."}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        if self.size > self.LIMIT:
+            self.young, self.old, self.size = {}, self.young, 0
+        marked = {w: w[:-1] for w in words if w[-1:] in self.marks and w[:-1].isalpha()}
+        bare = (words - marked.keys()) | {w for w in marked.values() if w not in self.young}
+        found = {w: self.old[w] for w in bare if w in self.old}
+        new = [w for w in bare if w not in found]
+        codes = self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
+        found.update((w, np.array(code.ids, "<u4").tobytes()) for w, code in zip(new, codes, strict=True))
+        self.young.update(found)
+        self.young.update((w, self.young[b] + self.marks[w[-1]]) for w, b in marked.items())
+        self.size += sum(150 + len(w) + len(self.young[w]) for w in words)
 
     def ids(self, text: str, end: int) -> np.ndarray:
-        out: list[int] = []
-        for found in map(self.__getitem__, self.find(text)):
-            out += found
-        out.append(end)
-        return np.array(out, np.uint32)
+        first, *words = text.split(" ")
+        if self.ODD.search(text):
+            found = self.whole(text)
+        else:
+            if missing := set(words).difference(self.young):
+                self.learn(missing | set(words) if self.size > self.LIMIT else missing)
+            found = (self.whole(first) if first else b"") + b"".join(map(self.young.__getitem__, words))
+        return np.frombuffer(found + struct.pack("<I", end), "<u4")
 
 
-_PIECES: dict[str, Pieces] = {}
+_WORDS: dict[str, WordIds] = {}
 
 
-def write_ids(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write_ids(docs: DataFrame, folder: str, tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes the files and returns one row for each: order, path, documents, ids."""
     ordered = docs.select(docs[key].alias("key"), docs[text].alias("text")) \
         .repartitionByRange("key", F.xxhash64("text")).sortWithinPartitions("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _PIECES:
-            _PIECES[tokenizer] = Pieces(tokenizer, pattern)
-        pieces = _PIECES[tokenizer]
+        if tokenizer not in _WORDS:
+            _WORDS[tokenizer] = WordIds(tokenizer)
+        known = _WORDS[tokenizer]
         part, number, total, held, keys, lengths = TaskContext.get().partitionId(), 0, 0, [], [], []
 
         def close() -> pa.RecordBatch:
@@ -184,7 +205,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, pattern: str, end: i
 
         for batch in batches:
             for name, value in zip(batch.column("key"), texts(batch.column("text")), strict=True):
-                found = pieces.ids(value, end)
+                found = known.ids(value, end)
                 held.append(found)
                 keys.append(name.as_py())
                 lengths.append(len(found))
@@ -205,7 +226,7 @@ def read_ids(files: DataFrame, key: str = "doc_id", kind: str = "bigint") -> Dat
     """
     order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("before", F.coalesce(F.sum("ids").over(order), F.lit(0))).select("path", "before", "docs")
-    spread = placed.repartition(F.col("path"))
+    spread = placed.repartition(max(1, min(files.count(), READERS)), "path")  # a number: not to be drawn together again
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import texts, written
 
 WORD = re.compile(r"[^\W_]+")
 CHUNK, BLOCK, SLICE, NGRAM = 48, 4, 4096, 5
@@ -232,5 +232,5 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that hold no test item."""
-    held = contaminated(docs, items, key, text).select(F.col(key).alias("__k")).distinct()
+    held = written(contaminated(docs, items, key, text).select(F.col(key).alias("__k")).distinct(), "contaminated")
     return docs.join(held, docs[key].eqNullSafe(held["__k"]), "left_anti")

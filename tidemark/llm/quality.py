@@ -131,6 +131,12 @@ def judge(docs: DataFrame, text: str = "text", keep: list[str] | None = None, ru
     return m.select(*keep, *COUNTS, *[bad.alias(f"breaks_{n}") for n, bad in broken.items()],
                     base.alias("base_failed"), kept.alias("kept"))
 
+def good_ones(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, that the rules keep."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    return judge(rows, "text", ["row"], rules).where("kept").select("row.*")
+
+
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 ORACLE = f"""
 WITH t AS (

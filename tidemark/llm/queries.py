@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ctw, dac, decontaminate, jaccard, quality, sharding, toxicity, warc
+from tidemark.llm import bpe, ctw, dac, decontaminate, jaccard, licences, quality, sharding, toxicity, warc
 from tidemark.llm.common import crc_bucket, table, written
 from tidemark.session import scratch_path
 
@@ -58,8 +58,8 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_token_output")
 def token_output(spark: SparkSession, folder: str) -> DataFrame:
     files = written(dac.write_ids(
-        table(spark, folder, "documents"), scratch_path(spark, "dac"), public_tokenizers.path("byte_bpe_50k.json"),
-        public_tokenizers.PATTERN, end=2), "dac-files")
+        table(spark, folder, "documents"), scratch_path(spark, "dac"), public_tokenizers.path("byte_bpe_50k.json"), end=2),
+        "dac-files")
     return dac.read_ids(files)
 
 
@@ -87,3 +87,8 @@ def context_tree(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op2_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))

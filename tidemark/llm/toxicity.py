@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import crc_bucket, texts, written
 
@@ -158,6 +159,13 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, text: st
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f"c{i}") for i in range(len(keep))), pa.array(held.value.score(x))], names=[*(f"c{i}" for i in range(len(keep))), "score"])
 
-    schema = "".join(f"c{i} {source.schema[f'c{i}'].dataType.simpleString()}, " for i in range(len(keep)))
-    return source.mapInArrow(run, schema + "score double").select(
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())])
+    return source.mapInArrow(run, schema).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, columns unchanged, that are not predicted to be toxic."""
+    model = fit(docs, labels, key, text)
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    return score(rows, model, keep=["row"]).where("predicted = 0").select("row.*")

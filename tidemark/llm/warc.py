@@ -34,6 +34,8 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes of a file before the next one is begun, of a range of the reader, and of one read.
 FILE_BYTES, RANGE_BYTES, READ_BYTES = 64 << 20, 16 << 20, 1 << 20
+#: Tasks of the reader at most; each reads one range after the other.
+READERS = 10_000
 
 
 def digest(payload: bytes) -> str:
@@ -183,4 +185,5 @@ def read_archives(spark: SparkSession, folder: str, html: bool = True, range_byt
                 if held:
                     yield pa.RecordBatch.from_pylist(held, arrow)
 
-    return ranges.repartition("path", "first").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in kinds.items()))
+    tasks = max(1, min(ranges.count(), READERS))  # a number: not to be drawn together again
+    return ranges.repartition(tasks, "path", "first").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in kinds.items()))
