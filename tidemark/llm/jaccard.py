@@ -7,8 +7,9 @@ result; the counts push what many documents share behind everyone's prefix).
 
 1. one pass: size, signature and profile of every document, and the counts;
 2. prefixes, dealt by shingle; lists of one node vanish;
-3. in each list every node meets a smallest, a largest and a neighbouring node only. What is left of these pairs after
-   the filters is verified once, and the links give first components;
+3. in each list every node meets two nodes only, the first and the last in a pseudo-random order. What is left of these
+   pairs after the filters is verified once, and the links give components. While the lists hold many pairs across
+   components and a turn removes half of them, this is repeated in another order;
 4. lists that still hold several components give all pairs across components, under the same filters, less those verified.
 
 So a group of g near copies costs about g verifications, not g squared, and no link between different components is lost.
@@ -34,7 +35,9 @@ from tidemark.llm.components import components
 from tidemark.llm.shingles import mix, shingle_sets
 
 #: Buckets of the counts, segments of a profile, bits of the filter of needed sets: fixed sizes of what is broadcast.
-BUCKETS, SEGMENTS, BITS = 1 << 18, 32, 1 << 25
+BUCKETS, SEGMENTS, BITS = 1 << 18, 256, 1 << 25
+#: Pairs across components for each row of a list up to which all of them are tried.
+LINEAR = 4
 
 
 def least_overlap(x, y):
@@ -58,7 +61,8 @@ def _survey(docs: DataFrame) -> DataFrame:
             for found in shingle_sets(texts(batch.column("text"))):
                 size.append(len(found))
                 sig.append(_signature(found))
-                profile.append(np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=SEGMENTS).astype("<u4").tobytes())
+                segments = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=SEGMENTS)
+                profile.append(np.minimum(segments, 255).astype(np.uint8).tobytes())  # cut sizes bound from above still
                 np.add.at(counts, (found % np.uint64(BUCKETS)).astype(np.int64), 1)
             none = pa.nulls(len(size), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -115,7 +119,7 @@ def _by_list(rows: DataFrame, work: Callable[[dict[str, np.ndarray], np.ndarray]
                 yield pa.RecordBatch.from_pydict({k: pa.array(v[at:at + 100_000]) for k, v in made.items()})
 
         for batch in batches:
-            part = {c: batch.column(c).to_numpy() for c in names}
+            part = {c: _profiles(batch.column(c)) if c == "profile" else batch.column(c).to_numpy() for c in names}
             if rest is not None:
                 part = {c: np.concatenate([rest[c], part[c]]) for c in names}
             if not len(part["h"]):
@@ -153,19 +157,22 @@ def _as_pairs(part: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> dict
     return {"a": pairs[:, 0], "b": pairs[:, 1]}
 
 
-def _first_meetings(part: dict[str, np.ndarray], bounds: np.ndarray) -> dict[str, np.ndarray]:
-    """Each row with the smallest and the largest node of its list and with its neighbour by size."""
-    size, at = np.diff(bounds), np.arange(len(part["h"]))
+def _meetings(salt: int) -> Callable:
+    """Each row with the first and the last node of its list in an order that the salt gives, other components only."""
+    def work(part: dict[str, np.ndarray], bounds: np.ndarray) -> dict[str, np.ndarray]:
+        size, at = np.diff(bounds), np.arange(len(part["h"]))
+        order = mix(part["sig"].view(np.uint64) ^ np.uint64(salt))
 
-    def place(extreme: np.ufunc) -> np.ndarray:
-        """For each row the row of its list's extreme node."""
-        hit = np.flatnonzero(part["sig"] == np.repeat(extreme.reduceat(part["sig"], bounds[:-1]), size))
-        return np.repeat(hit[np.searchsorted(hit, bounds[:-1])], size)
+        def place(extreme: np.ufunc) -> np.ndarray:
+            """For each row the row of its list's extreme node."""
+            hit = np.flatnonzero(order == np.repeat(extreme.reduceat(order, bounds[:-1]), size))
+            return np.repeat(hit[np.searchsorted(hit, bounds[:-1])], size)
 
-    same = np.flatnonzero(part["h"][1:] == part["h"][:-1])
-    i, j = np.concatenate([at, at, same]), np.concatenate([place(np.minimum), place(np.maximum), same + 1])
-    good = _passes(part, i, j)
-    return _as_pairs(part, i[good], j[good])
+        i, j = np.concatenate([at, at]), np.concatenate([place(np.minimum), place(np.maximum)])
+        good = _passes(part, i, j) & (part["root"][i] != part["root"][j])
+        return _as_pairs(part, i[good], j[good])
+
+    return work
 
 
 def _all_meetings(part: dict[str, np.ndarray], bounds: np.ndarray) -> dict[str, np.ndarray]:
@@ -177,14 +184,26 @@ def _all_meetings(part: dict[str, np.ndarray], bounds: np.ndarray) -> dict[str,
         at = at[(part["h"][at] == part["h"][at + step]) & (5 * part["n"][at] >= 4 * part["n"][at + step])]
         good = at[(part["root"][at] != part["root"][at + step])]
         good = good[_passes(part, good, good + step)]
-        if len(good):
-            found.append((good, good + step))
+        for block in np.array_split(good, -(-len(good) // 20_000) or 1):
+            there = block + step
+            fits = _leave_room(part["n"][block], part["n"][there], part["profile"][block], part["profile"][there])
+            found.append((block[fits], there[fits]))
         step += 1
     if not found:
         return _as_pairs(part, np.zeros(0, np.int64), np.zeros(0, np.int64))
     return _as_pairs(part, *(np.concatenate(c) for c in zip(*found, strict=True)))
 
 
+def _profiles(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SEGMENTS)
+
+
+def _leave_room(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Suffix filter: what the segments' sizes allow as overlap is enough."""
+    apart = (np.maximum(p, q) - np.minimum(p, q)).sum(axis=1, dtype=np.int64)
+    return (x + y - apart) // 2 >= least_overlap(x, y)
+
+
 def _suffix_filter(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     """Pairs whose segment sizes leave room for the least overlap."""
     side = lambda s: profiles.select(F.col("sig").alias(s), F.col("n").alias(f"n_{s}"), F.col("profile").alias(f"p_{s}"))
@@ -194,8 +213,7 @@ def _suffix_filter(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             x, y = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, SEGMENTS).astype(np.int64) for c in ("p_a", "p_b"))
-            good = (x + y - np.abs(p - q).sum(axis=1)) // 2 >= least_overlap(x, y)
+            good = _leave_room(x, y, *(_profiles(batch.column(c)) for c in ("p_a", "p_b")))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good))
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a bigint, b bigint")
@@ -258,33 +276,44 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     profiles = known.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("profile").alias("profile"))
 
     lists = written(_by_list(_prefixes(rows, weight), _shared, "h bigint, sig bigint, n bigint, pos bigint"), "lists")
-    met = _by_list(lists, _first_meetings, "a bigint, b bigint").distinct()
-    tried = written(_suffix_filter(met, profiles), "pairs")
-    links = written(_verify(rows, tried), "links")
-    first = components(links)
-
-    placed = lists.join(first.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    mixed = lists_of_several(placed)
-    across = _by_list(mixed, _all_meetings, "a bigint, b bigint").distinct()
-    more = written(_suffix_filter(across.join(tried, ["a", "b"], "left_anti"), profiles), "pairs")
-    if not more.isEmpty():
-        links = links.union(written(_verify(rows, more), "links"))
-        first = components(links)
+    several = lists.withColumn("root", F.col("sig"))
+    links = tried = classes = None
+    salt, last, open_pairs = 0, False, None
+    while True:
+        met = several.join(profiles.select("sig", "profile"), "sig") if last else several
+        pairs = _by_list(met, _all_meetings if last else _meetings(salt), "a bigint, b bigint").distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        fresh = written(pairs if last else _suffix_filter(pairs, profiles), "pairs")
+        found = written(_verify(rows, fresh), "links")
+        more = not found.isEmpty()
+        if more or links is None:
+            links = found if links is None else links.union(found)
+            classes = components(links).select(F.col("node").alias("sig"), "root")
+        if last:
+            break
+        tried = fresh if tried is None else tried.union(fresh)
+        before = open_pairs
+        several, open_pairs, open_rows = _open_lists(lists, classes)
+        salt, last = salt + 1, open_pairs <= LINEAR * open_rows or before is not None and 2 * open_pairs > before
 
     ids = known.groupBy("sig").agg(F.min("key").alias("least"))
-    named = ids.join(first.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    named = ids.join(classes, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(least, "root").select("sig", "component_id")
-    linked = known.where("n > 0").join(classes, "sig")
+    linked = known.where("n > 0").join(named.join(least, "root").select("sig", "component_id"), "sig")
     alone = known.where("n = 0").withColumn("component_id", F.col("key"))
     out = lambda d: d.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
     return out(linked).unionByName(out(alone))
 
 
-def lists_of_several(placed: DataFrame) -> DataFrame:
-    """Rows of the lists that hold more than one component."""
-    several = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("h")
-    return placed.join(several, "h", "left_semi").select("h", "sig", "n", "pos", "root")
+def _open_lists(lists: DataFrame, classes: DataFrame) -> tuple[DataFrame, int, int]:
+    """The lists that hold more than one component, with ``root``; their pairs across components and their rows."""
+    placed = lists.join(classes, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    sizes = placed.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k"))
+    several = sizes.groupBy("h").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("k2"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    several = written(several, "open-lists")
+    pairs, rows = several.agg(F.sum((F.col("k") * F.col("k") - F.col("k2")) / 2), F.sum("k")).first()
+    return written(placed.join(several.select("h"), "h", "left_semi").select("h", "sig", "n", "pos", "root"), "open"), pairs or 0, rows or 0
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
