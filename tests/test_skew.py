@@ -96,20 +96,53 @@ def keep_by_ttl(rows, ttl):
 
 
 @pytest.mark.parametrize("ttl", [0, 1_000, 17_000, 600_000])
-@pytest.mark.parametrize("short_run", [0, 20, 10_000])
-def test_dedup_ttl(spark, ttl, short_run):
-    rows = arrivals_of_ids(ttl + short_run)
+@pytest.mark.parametrize("seed", [0, 20])
+def test_dedup_ttl(spark, ttl, seed):
+    rows = arrivals_of_ids(ttl + seed)
     df = spark.createDataFrame(rows, "event_id long, arr long, seq long").repartition(6)
-    got = dedup_ttl(df, ttl, order=("arr", "seq"), short_run=short_run)
+    got = dedup_ttl(df, ttl, order=("arr", "seq"))
     assert {tuple(r) for r in got.collect()} == keep_by_ttl(rows, ttl)
 
 
 def test_dedup_ttl_of_text_ids(spark):
     rows = [("a", 0), ("a", 5), ("a", 11), ("a", 12), ("b", 3), ("a", 22), ("a", 23)]
     df = spark.createDataFrame(rows, "event_id string, arr long")
-    for short_run in (0, 100):
-        got = dedup_ttl(df, 10, order=("arr",), short_run=short_run).collect()
-        assert sorted(tuple(r) for r in got) == [("a", 0), ("a", 11), ("a", 22), ("b", 3)]
+    got = dedup_ttl(df, 10, order=("arr",)).collect()
+    assert sorted(tuple(r) for r in got) == [("a", 0), ("a", 11), ("a", 22), ("b", 3)]
+
+
+def test_rows_without_id_are_left_out(spark):
+    df = spark.createDataFrame([(None, 0), (None, 5_000), ("a", 1)], "event_id string, arr long")
+    assert [tuple(r) for r in dedup_ttl(df, 1_000, order=("arr",)).collect()] == [("a", 1)]
+
+
+def test_text_ids_and_a_hot_millisecond(spark):
+    rows = [(f"{i * 7919 % 100_003:05x}-uuid", 500 if i % 10 == 0 else i % 977, i % 1000) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "event_id string, arr long, ms long")
+    placed = with_order_buckets(df, "arr", "event_id", 200)
+    sizes = [r["count"] for r in placed.groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 3 * len(rows) / 200
+    want, top = {}, None
+    for ident, _, ms in sorted(rows, key=lambda r: (r[1], r[0])):
+        top = want[ident] = ms if top is None else max(top, ms)
+    assert {r.event_id: r.max_ms for r in running_watermark(df, 0, buckets=50).collect()} == want
+
+
+def test_changelog_of_a_null_symbol(spark):
+    df = spark.createDataFrame([(i, i, 0, None, 1.0, 1) for i in range(2000)], EVENT)
+    assert agg_changelog(df, 300_000, buckets=20).agg(F.max("count")).first()[0] == 2000
+
+
+def test_null_groups_and_far_values_have_percentiles(spark):
+    rows = [(None, 5), (None, 7), ("a", -10**15), ("a", 3), ("a", 10**17), ("b", None)]
+    got = {r.g: (r.p50, r.p100) for r in percentile_low(spark.createDataFrame(rows, "g string, v long"), ["g"], "v", [50, 100]).collect()}
+    assert got == {None: (5, 7), "a": (3, 10**17)}
+
+
+def test_missing_event_time_is_no_delay(spark):
+    rows = [(1, 10_000, 5_000, "a", 1.0, 1), (2, 10_001, None, "a", 1.0, 1), (3, 10_002, None, None, 1.0, 1)]
+    r = delay_report(spark.createDataFrame(rows, EVENT), 250_000).first()
+    assert (r.messages, r.dups, r.p50, r.b0, r.b2, r.b4) == (3, 0, 0, 2, 1, 0)
 
 
 def test_first_arrivals_and_duplicates(spark):

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import window_start_ms
+from tidemark.functions.scalars import delay_ms, window_start_ms
 from tidemark.operators.prefix import BUCKET, running, with_order_buckets
 
 ORDER = ("arr", "event_id")
@@ -29,7 +29,7 @@ def running_watermark(
 ) -> DataFrame:
     """Add ``max_ms`` (running maximum of event time) and ``watermark_ms``.
 
-    Placing the buckets reads the order columns of ``df`` once, ahead of the plan.
+    The rows are ordered and written once, ahead of the plan. A record without event time moves nothing.
     """
     placed = with_order_buckets(df, *order, buckets=buckets)
     return (
@@ -72,7 +72,7 @@ def timeliness(on_time_ms: int = 60_000) -> Column:
     """red: behind the watermark; else orange: delayed too long; else green."""
     return (
         F.when(is_late(), "red")
-        .when(F.col("arr") - F.col("ms") > on_time_ms, "orange")
+        .when(delay_ms(F.col("arr"), F.col("ms")) > on_time_ms, "orange")
         .otherwise("green")
     )
 

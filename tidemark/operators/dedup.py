@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import scratch_path
 
 ORDER = ("arr", "event_id")
-# Arrivals that one array may hold; longer runs take the paged path.
-SHORT_RUN = 10_000
+# Kept arrivals that a task gathers before it hands them on.
+FLUSH = 50_000
 # Fixed value: one page is a 4 KiB bitmap, one bit per millisecond.
 PAGE_MS = 32_768
 
@@ -26,27 +29,33 @@ def dedup_ttl(
     ttl_ms: int = 600_000,
     key: str = "event_id",
     order: Sequence[str] = ORDER,
-    short_run: int = SHORT_RUN,
 ) -> DataFrame:
     """Keep an arrival unless a kept arrival of its id lies within the TTL before it.
 
     ``order`` is the arrival time in ms, then tie-breaks. The time limit counts
     from the kept arrival and is not renewed by copies, so the rule is a chain per
-    id. Ids whose arrivals all lie within one TTL keep their first row, which is one
-    aggregate. The other ids take :func:`_chain`, which never gathers an id's rows.
+    id. Rows without id are left out (``clean.rejected`` returns them). ``df`` is
+    read twice: one aggregate per id finds its first row and its span, and ids whose
+    arrivals all lie within one TTL are done; the rows of the others are written
+    once, and :func:`_chain` works on these.
     """
     arrival = order[0]
-    spans = df.groupBy(key).agg((F.max(arrival) - F.min(arrival)).alias("span"))
-    longer = spans.filter(F.col("span") > ttl_ms).select(key)
-    near = _first(df, [key], order, extra=F.max(arrival).alias("__hi"))
-    near = near.filter(F.col("__hi") - F.col(arrival) <= ttl_ms).select(*df.columns)
-    far = df.join(longer, key, "left_semi")
-    kept = _chain(far.select(key, F.col(arrival).alias("at")), key, ttl_ms, short_run)
+    df = df.filter(F.col(key).isNotNull())
+    per_id = _written(_first(df, [key], order, extra=F.max(arrival).alias("__hi")), "first-arrivals")
+    within = F.col("__hi") - F.col(arrival) <= ttl_ms
+    far = _written(df.join(per_id.filter(~within).select(key), key, "left_semi"), "long-ids")
+    kept = _chain(far.select(key, F.col(arrival).alias("at")), key, ttl_ms)
     # Equal (id, arrival) rows are combined before the join, so it has no hot key.
     chosen = _first(far, [key, arrival], order).join(
         kept.withColumnRenamed("at", arrival), [key, arrival], "left_semi"
     )
-    return near.unionByName(chosen.select(*df.columns))
+    return per_id.filter(within).select(*df.columns).unionByName(chosen.select(*df.columns))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str], extra=None) -> DataFrame:
@@ -60,81 +69,50 @@ def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str], extra=None)
     return picked.select(*keys, *(["row.*"] if rest else []), *(["__hi"] if extra is not None else []))
 
 
-def _chain(arrivals: DataFrame, key: str, ttl_ms: int, short_run: int) -> DataFrame:
+def _chain(arrivals: DataFrame, key: str, ttl_ms: int) -> DataFrame:
     """Kept arrival times of ids whose arrivals span more than one TTL.
 
     1. Copies at one millisecond cannot both be kept, so they are combined before
-       the shuffle.
-    2. A gap longer than the TTL restarts the chain. Gaps are found on one row per
-       id and TTL slot, and cut an id's arrivals into independent runs.
-    3. A run no longer than the TTL keeps its first arrival, which starts it.
-    4. A longer run of few arrivals is walked as an array. One of many is packed
-       into one bitmap per 32.8 s and streamed page by page, so its size depends on
-       the time it spans (about 10 MB a day) and not on its number of rows.
+       the shuffle: an id's arrivals become one bitmap per 32.8 s.
+    2. A gap longer than the TTL restarts the chain. Gaps between pages are found on
+       one row per id and page, and cut an id's pages into independent runs.
+    3. A run is streamed page by page. Its size depends on the time it spans (about
+       10 MB a day) and not on its number of rows.
     """
-    seen = arrivals.distinct()
-    slot = (F.col("at") - F.pmod(F.col("at"), F.lit(max(ttl_ms, 1)))).alias("slot")
-    slots = seen.groupBy(key, slot).agg(
-        F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("n")
+    bit = F.pmod(F.col("at"), F.lit(PAGE_MS))
+    pages = arrivals.groupBy(key, (F.col("at") - bit).alias("page")).agg(
+        F.bitmap_construct_agg(bit).alias("bits"), F.min("at").alias("lo"), F.max("at").alias("hi")
     )
-    per_id = Window.partitionBy(key).orderBy("slot")
-    per_run = Window.partitionBy(key, "run")
+    per_id = Window.partitionBy(key).orderBy("page")
     gap = F.col("lo") - F.lag("hi").over(per_id)
-    runs = (
-        slots.withColumn("start", F.when(F.coalesce(gap > ttl_ms, F.lit(True)), F.col("lo")))
-        .withColumn("run", F.max("start").over(per_id.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("run_rows", F.sum("n").over(per_run))
-        .withColumn("long", F.max("hi").over(per_run) - F.col("run") > ttl_ms)
-    )
-    starts = runs.filter(~F.col("long") & (F.col("lo") == F.col("run"))).select(key, F.col("run").alias("at"))
-    longer = runs.filter("long").select(key, "slot", "run", "run_rows")
-    placed = seen.withColumn("slot", slot).join(longer, [key, "slot"])
-    few = F.col("run_rows") <= short_run
-    return (
-        starts.unionByName(_walk_short(placed.filter(few), key, ttl_ms))
-        .unionByName(_walk_long(placed.filter(~few), key, ttl_ms))
-    )
-
-
-def _walk_short(placed: DataFrame, key: str, ttl_ms: int) -> DataFrame:
-    walked = F.aggregate(
-        F.array_sort(F.collect_list("at")),
-        F.array().cast("array<bigint>"),
-        lambda kept, at: F.when(
-            (F.size(kept) == 0) | (at > F.get(kept, F.size(kept) - 1) + ttl_ms),
-            F.array_append(kept, at),
-        ).otherwise(kept),
-    )
-    return placed.groupBy(key, "run").agg(walked.alias("kept")).select(
-        key, F.explode("kept").alias("at")
+    runs = pages.withColumn("start", F.when(F.coalesce(gap > ttl_ms, F.lit(True)), F.col("lo"))).withColumn(
+        "run", F.max("start").over(per_id.rowsBetween(Window.unboundedPreceding, 0))
     )
+    ordered = runs.select(key, "run", "page", "bits").repartition(key, "run").sortWithinPartitions(key, "run", "page")
 
-
-def _walk_long(placed: DataFrame, key: str, ttl_ms: int) -> DataFrame:
-    bit = F.pmod(F.col("at"), F.lit(PAGE_MS))
-    pages = (
-        placed.groupBy(key, "run", (F.col("at") - bit).alias("page"))
-        .agg(F.bitmap_construct_agg(bit).alias("bits"))
-        .repartition(key, "run")
-        .sortWithinPartitions(key, "run", "page")
-    )
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, last = None, None
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last, ids, times = None, None, [], []
         for batch in batches:
-            ids, times = [], []
-            for ident, run, page, bits in zip(batch[key], batch["run"], batch["page"], batch["bits"]):
-                if (ident, run) != current:
-                    current, last = (ident, run), None
-                marks = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little")
-                at = page + np.flatnonzero(marks)
+            keys, places = batch.column(key), batch.column("page").to_numpy()
+            starts = batch.column("run").to_numpy()
+            for row, bits in enumerate(batch.column("bits")):
+                mine = (keys[row].as_py(), starts[row])
+                if mine != current:
+                    current, last = mine, None
+                at = places[row] + np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), bitorder="little"))
+                kept = []
                 i = 0 if last is None else np.searchsorted(at, last + ttl_ms, side="right")
                 while i < len(at):
                     last = int(at[i])
-                    ids.append(ident)
-                    times.append(last)
+                    kept.append(last)
                     i = np.searchsorted(at, last + ttl_ms, side="right")
-            yield pd.DataFrame({key: ids, "at": times})
-
-    id_type = pages.schema[key].dataType.simpleString()
-    return pages.mapInPandas(walk, f"`{key}` {id_type}, at long")
+                times += kept
+                ids += [mine[0]] * len(kept)
+                if len(times) > FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, keys.type), pa.array(times, pa.int64())], names=[key, "at"])
+                    ids, times = [], []
+            if times:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, keys.type), pa.array(times, pa.int64())], names=[key, "at"])
+                ids, times = [], []
+
+    return ordered.mapInArrow(walk, T.StructType([ordered.schema[key], T.StructField("at", T.LongType())]))

@@ -7,63 +7,70 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import DELAY_EDGES_MS, bucket_index, window_start_ms
+from tidemark.functions.scalars import DELAY_EDGES_MS, bucket_index, delay_ms, window_start_ms
 
-# Values per band of the percentile search.
-BAND = 60_000
+# Bands of the percentile search: values per band, and bands per band of the level above.
+BAND = 1 << 20
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, width: int = BAND) -> DataFrame:
-    """Rows per group and value, combined before the shuffle; ``band`` = values of one span."""
-    band = window_start_ms(F.col(value), width).alias("band")
-    return df.groupBy(*keys, band, F.col(value).alias("v")).agg(F.count("*").alias("cnt"))
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows per group and value ``v``, combined before the shuffle; missing values are left out."""
+    rows = df.filter(F.col(value).isNotNull())
+    return rows.groupBy(*keys, F.col(value).cast("long").alias("v")).agg(F.count("*").alias("cnt"))
 
 
 def percentile_low(
     df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int], width: int = BAND
 ) -> DataFrame:
-    """Exact ``sorted[int(p/100*(n-1))]`` per group, as columns ``p<percent>``.
+    """Exact ``sorted[int(p/100*(n-1))]`` per group, as columns ``p<percent>``; a null group is a group.
 
-    ``value`` is integral. The rank is located in two steps: the band of ``width``
-    values that holds it, then the value inside the band. A window task sees at
-    most the bands of one group or the ``width`` distinct values of one band,
-    however many rows the group has.
+    ``value`` is integral. The rank is located level by level: the band of
+    ``width**2`` values that holds it, the band of ``width`` values inside that one,
+    then the value. A window task sees the bands of one band of the level above,
+    however many rows the group has and however far apart its values are.
     """
-    return percentile_of_counts(value_counts(df, keys, value, width), keys, percents)
+    return percentile_of_counts(value_counts(df, keys, value), keys, percents, width)
 
 
-def percentile_of_counts(counts: DataFrame, keys: Sequence[str], percents: Sequence[int]) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    along = group.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = (
-        counts.groupBy(*keys, "band").agg(F.sum("cnt").alias("cnt"))
-        .withColumn("before", F.coalesce(F.sum("cnt").over(along), F.lit(0)))
-        .withColumn("n", F.sum("cnt").over(group))
-    )
-    rank = [
-        F.struct(F.lit(p).alias("p"),
-                 F.floor(F.lit(p / 100) * (F.col("n") - 1)).cast("long").alias("rank"))
+def percentile_of_counts(
+    counts: DataFrame, keys: Sequence[str], percents: Sequence[int], width: int = BAND
+) -> DataFrame:
+    rank = F.array(*[
+        F.struct(F.lit(p).alias("p"), F.floor(F.lit(p / 100) * (F.col("n") - 1)).cast("long").alias("rank"))
         for p in percents
-    ]
-    wanted = (
-        bands.select(*keys, "band", "before", "cnt", F.inline(F.array(*rank)))
-        .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("cnt")))
-        .select(*keys, "band", "p", (F.col("rank") - F.col("before")).alias("skip"))
-    )
-    inside = (
-        Window.partitionBy(*keys, "band", "p").orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    found = (
-        counts.join(wanted, [*keys, "band"])
-        .withColumn("below", F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
-        .filter((F.col("below") <= F.col("skip")) & (F.col("skip") < F.col("below") + F.col("cnt")))
-    )
-    return found.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("p") == p, F.col("v"))).alias(f"p{p}") for p in percents]
+    ])
+    wanted = counts.groupBy(*keys).agg(F.sum("cnt").alias("n")).select(*keys, F.inline(rank))
+    above: list[str] = []
+    for level, size in enumerate((width * width, width, 1)):
+        band = f"band{level}"
+        bands = counts.groupBy(
+            *keys, *[window_start_ms(F.col("v"), width ** (2 - k)).alias(f"band{k}") for k in range(level + 1)]
+        ).agg(F.sum("cnt").alias("cnt")) if size > 1 else counts.select(
+            *keys, *[window_start_ms(F.col("v"), width ** (2 - k)).alias(f"band{k}") for k in range(level)],
+            F.col("v").alias(band), "cnt",
+        )
+        open_bands = _join_null_safe(bands, wanted, [*keys, *above])
+        inside = Window.partitionBy(*keys, *above, "p").orderBy(band).rowsBetween(Window.unboundedPreceding, -1)
+        wanted = (
+            open_bands.withColumn("below", F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
+            .filter((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("cnt")))
+            .select(*keys, *above, band, "p", (F.col("rank") - F.col("below")).alias("rank"))
+        )
+        above.append(band)
+    return wanted.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("p") == p, F.col(above[-1]))).alias(f"p{p}") for p in percents]
     )
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys, null equal to null; the keys come from the left."""
+    same = F.lit(True)
+    for k in keys:
+        right = right.withColumnRenamed(k, f"__r_{k}")
+        same = same & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(right, same).drop(*[f"__r_{k}" for k in keys])
+
+
 def histogram_columns(
     value: str, edges: Sequence[int] = DELAY_EDGES_MS, weight: str | None = None
 ) -> list[Column]:
@@ -77,7 +84,7 @@ def histogram_columns(
 
 
 def duplicate_counts(df: DataFrame, interval_ms: int) -> DataFrame:
-    """Second and later arrivals of an id, counted in the interval they arrive in."""
+    """Second and later arrivals of an id, counted in the interval they arrive in; rows without id are no copies."""
     rows = df.groupBy(_interval(interval_ms)).agg(F.count("*").alias("messages"))
     return _with_duplicates(rows, df, interval_ms)
 
@@ -116,15 +123,17 @@ def _interval(interval_ms: int) -> Column:
 
 
 def _delay_counts(df: DataFrame, interval_ms: int) -> DataFrame:
-    timed = df.select(_interval(interval_ms), (F.col("arr") - F.col("ms")).alias("delay"))
+    timed = df.select(_interval(interval_ms), delay_ms(F.col("arr"), F.col("ms")).alias("delay"))
     return value_counts(timed, ["interval_ms"], "delay")
 
 
 def _with_duplicates(basic: DataFrame, df: DataFrame, interval_ms: int) -> DataFrame:
     """Add ``dups``. The first arrival of an id is a minimum, so a hot id is combined
     before the shuffle; everything that is not a first arrival is a duplicate."""
+    named = df.filter(F.col("event_id").isNotNull())
+    nameless = df.filter(F.col("event_id").isNull()).select("arr")
     firsts = (
-        df.groupBy("event_id").agg(F.min("arr").alias("arr"))
+        named.groupBy("event_id").agg(F.min("arr").alias("arr")).select("arr").unionByName(nameless)
         .groupBy(_interval(interval_ms)).agg(F.count("*").alias("firsts"))
     )
     return (

@@ -1,45 +1,30 @@
 """Running aggregates over a total order, without one task that holds all rows.
 
 A window over the whole stream, or over one hot key, would put every row of it
-into one task. Here the order is cut into buckets of about equal row counts;
-each bucket is scanned on its own, and only one row per bucket (and key) is
-carried from bucket to bucket.
+into one task. Here the rows are range-partitioned by the whole order, tie-break
+included, so a millisecond that holds a third of all rows is cut like any other
+stretch and the tie may be of any type. Each bucket is scanned on its own, and
+only one row per bucket (and key) is carried from bucket to bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "__bucket"
-_KEY = "__order_key"
-_SLOT = "__tie_slot"
-# Upper bounds of the cuts that are held on the driver.
-MAX_BUCKETS = 10_000
-TIE_SLOTS = 256
-
-
-def _default_buckets(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(MAX_BUCKETS, 4 * parts))
+from tidemark.session import scratch_path
 
-
-def _cut(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
-    inner = sorted(set(cuts))
-    if not inner:
-        return df.withColumn(out, F.lit(0))
-    if len(inner) == 1:
-        return df.withColumn(out, (F.col(column) >= F.lit(inner[0])).cast("int"))
-    splits = [float("-inf"), *inner, float("inf")]
-    cutter = Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep")
-    return cutter.transform(df).withColumn(out, F.col(out).cast("int"))
+BUCKET = "__bucket"
+# Bytes of input, by Spark's own estimate, that make one bucket.
+BUCKET_BYTES = 64 << 20
 
 
-def _quantiles(df: DataFrame, column: str, n: int) -> list[float]:
-    return df.approxQuantile(column, [i / n for i in range(1, n)], 1 / (2 * n))
+def bucket_count(df: DataFrame) -> int:
+    """Buckets follow the size of the input; small inputs use the session's parallelism."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
 
 def with_order_buckets(
@@ -47,24 +32,15 @@ def with_order_buckets(
 ) -> DataFrame:
     """Add ``__bucket``: an int that never falls along the order ``(order, tie)``.
 
-    The cuts are quantiles of the order column, so a burst that holds a third of
-    all rows gets a third of the buckets. Where one single order value is so
-    frequent that it repeats among the cuts, it is split further by the rank slot
-    of the tie-break: rows of one order value differ in ``tie``, so they spread
-    over the slots. Cuts only place the bucket borders and bear on speed alone;
-    every result built on them is exact.
+    The bucket is the range partition of the row. The placed rows are written to the
+    shared folder, so every reader sees the same cuts, also after a lost executor.
+    Cuts bear on speed alone; every result built on them is exact.
     """
-    n = buckets or _default_buckets(df)
-    cuts = _quantiles(df.select(F.col(order).cast("double").alias(order)), order, n)
-    if tie is None or len(set(cuts)) == len(cuts):
-        keyed = df.withColumn(_KEY, F.col(order).cast("double"))
-        return _cut(keyed, _KEY, cuts, BUCKET).drop(_KEY)
-    slot_cuts = _quantiles(df.select(F.col(tie).cast("double").alias(tie)), tie, TIE_SLOTS)
-    keyed = _cut(df.withColumn(_KEY, F.col(tie).cast("double")), _KEY, slot_cuts, _SLOT)
-    # order in ms needs 41 bits of a double, the slot 8: the sum stays exact.
-    keyed = keyed.withColumn(_KEY, F.col(order) + F.col(_SLOT) / F.lit(float(TIE_SLOTS)))
-    cuts = _quantiles(keyed.select(_KEY), _KEY, n)
-    return _cut(keyed, _KEY, cuts, BUCKET).drop(_KEY, _SLOT)
+    columns = [order] if tie is None else [order, tie]
+    placed = df.repartitionByRange(buckets or bucket_count(df), *columns).withColumn(BUCKET, F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ordered")
+    placed.write.parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def running(
@@ -77,7 +53,7 @@ def running(
 
     ``df`` comes from :func:`with_order_buckets`. ``aggs`` maps a new column to
     (function name, input). ``by`` restarts the scan per key; a hot key is still
-    spread over the buckets. The rows are shuffled once, on (by, bucket), which
+    spread over the buckets, and a null key is a key. The rows are shuffled once, on (by, bucket), which
     serves both the in-bucket window and the join with the carried values.
     """
     keys = [*by, BUCKET]
@@ -98,7 +74,11 @@ def running(
         else F.col(n) + F.coalesce(F.col(f"__p_{n}"), F.lit(0))
         for n, (f, _) in aggs.items()
     }
+    same = F.lit(True)
+    for k in keys:
+        carried = carried.withColumnRenamed(k, f"__k_{k}")
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     return (
-        local.join(carried, keys, "left").withColumns(merged)
-        .drop(*[f"__p_{n}" for n in aggs])
+        local.join(carried, same, "left").withColumns(merged)
+        .drop(*[f"__p_{n}" for n in aggs], *[f"__k_{k}" for k in keys])
     )

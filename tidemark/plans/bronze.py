@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import cyclic, padded_id
 
-# Fixed values of the two bronze tables.
+# Fixed values of the two bronze tables: names, first minute, number of articles, and
+# price = BASE + STEP * (i % CYCLE), quantity = 1 + i % QUANTITIES.
 SELLERS = ("seller_a", "seller_b", "seller_c")
 CHANNELS = ("web", "mobile", "marketplace")
+SQL_START, SQL_SKUS, SQL_BASE, SQL_STEP, SQL_CYCLE, SQL_QUANTITIES = "2026-02-20 15:00:00", 6, 30, 12, 9, 5
+FRAME_START, FRAME_SKUS, FRAME_BASE, FRAME_STEP, FRAME_CYCLE, FRAME_QUANTITIES = "2026-02-20 14:00:00", 5, 40, 10, 7, 4
 
 
 def _by_thirds(i: Column, names: tuple[str, str, str]) -> Column:
@@ -19,14 +22,14 @@ def _by_thirds(i: Column, names: tuple[str, str, str]) -> Column:
 def bronze_sql_style(numbers: DataFrame) -> DataFrame:
     """Bronze rows from a column ``i``, with 32-bit quantities."""
     i = F.col("i")
-    price = 30 + (i % 9) * 12
-    qty = 1 + i % 5
+    price = SQL_BASE + (i % SQL_CYCLE) * SQL_STEP
+    qty = 1 + i % SQL_QUANTITIES
     return numbers.select(
         padded_id("duck_ev_", i, 3).alias("event_id"),
-        F.expr("TIMESTAMP_NTZ '2026-02-20 15:00:00' + i * INTERVAL '1' MINUTE").alias("event_time"),
+        F.expr(f"TIMESTAMP_NTZ '{SQL_START}' + i * INTERVAL '1' MINUTE").alias("event_time"),
         _by_thirds(i, SELLERS).alias("seller_id"),
         _by_thirds(i, CHANNELS).alias("channel"),
-        padded_id("sku_", i % 6 + 1, 1).alias("sku"),
+        padded_id("sku_", i % SQL_SKUS + 1, 1).alias("sku"),
         price.cast("double").alias("price"),
         qty.cast("int").alias("qty"),
         (price * qty).cast("double").alias("gmv"),
@@ -38,12 +41,12 @@ def bronze_frame_style(numbers: DataFrame) -> DataFrame:
     i = F.col("i")
     rows = numbers.select(
         padded_id("ev_", i, 3).alias("event_id"),
-        F.expr("TIMESTAMP_NTZ '2026-02-20 14:00:00' + i * INTERVAL '1' MINUTE").alias("event_time"),
+        F.expr(f"TIMESTAMP_NTZ '{FRAME_START}' + i * INTERVAL '1' MINUTE").alias("event_time"),
         cyclic(SELLERS, i).alias("seller_id"),
         cyclic(CHANNELS, i).alias("channel"),
-        padded_id("sku_", i % 5 + 1, 1).alias("sku"),
-        (40 + (i % 7) * 10).cast("double").alias("price"),
-        (1 + i % 4).cast("long").alias("qty"),
+        padded_id("sku_", i % FRAME_SKUS + 1, 1).alias("sku"),
+        (FRAME_BASE + (i % FRAME_CYCLE) * FRAME_STEP).cast("double").alias("price"),
+        (1 + i % FRAME_QUANTITIES).cast("long").alias("qty"),
     )
     return rows.withColumn("gmv", F.col("price") * F.col("qty"))
 

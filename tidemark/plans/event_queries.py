@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import (
-    bucket_index, clamp, composite_key, iso_utc, padded_id, window_start_ms,
+    bucket_index, cents, clamp, composite_key, delay_ms, iso_utc, padded_id, parse_symbols, row_id, window_start_ms,
 )
 from tidemark.operators.arrival import (
     ORDER, class_counts, close_lags, late_rows, running_watermark, strict_windows, timeliness,
@@ -23,6 +25,7 @@ from tidemark.plans.arrivals import HOUR, MINUTE, arrivals, with_times
 from tidemark.plans.oracle import S, dedup, watermark
 from tidemark.plans.registry import query
 from tidemark.sources.readers import table
+from tidemark.sources.sinks import describe
 
 WAIT = 5 * HOUR
 TTL = 10 * MINUTE
@@ -252,7 +255,7 @@ _HIST = ", ".join(f"COUNT(*) FILTER (b = {i}) AS b{i}" for i in range(5))
 @query("delay_bucket", f"""WITH {S} SELECT event_id, arr, {_NARROW} AS bucket,
        {_WIDE} AS wide_bucket FROM s""")
 def _(spark, folder):
-    delay = F.col("arr") - F.col("ms")
+    delay = delay_ms(F.col("arr"), F.col("ms"))
     return arrivals(spark, folder).select(
         "event_id", "arr", bucket_index(delay).alias("bucket"),
         bucket_index(delay, WIDE_EDGES).alias("wide_bucket"),
@@ -262,7 +265,7 @@ def _(spark, folder):
 @query("delay_hist", f"""WITH {S} SELECT symbol, {_HIST} FROM (SELECT symbol, {_WIDE} AS b FROM s)
 GROUP BY symbol""")
 def _(spark, folder):
-    rows = arrivals(spark, folder).withColumn("delay", F.col("arr") - F.col("ms"))
+    rows = arrivals(spark, folder).withColumn("delay", delay_ms(F.col("arr"), F.col("ms")))
     return rows.groupBy("symbol").agg(*histogram_columns("delay", WIDE_EDGES))
 
 
@@ -274,7 +277,7 @@ SELECT symbol, MAX(CASE WHEN rn = CAST(floor(CAST(0.5 AS DOUBLE) * (n - 1)) AS B
        MAX(CASE WHEN rn = CAST(floor(CAST(0.95 AS DOUBLE) * (n - 1)) AS BIGINT) THEN delay END) AS p95
 FROM r GROUP BY symbol""")
 def _(spark, folder):
-    rows = arrivals(spark, folder).select("symbol", (F.col("arr") - F.col("ms")).alias("delay"))
+    rows = arrivals(spark, folder).select("symbol", delay_ms(F.col("arr"), F.col("ms")).alias("delay"))
     return percentile_low(rows, ["symbol"], "delay", [50, 95])
 
 
@@ -302,6 +305,57 @@ def _(spark, folder):
     return out.withColumn("rate", F.round("rate", 6))
 
 
+_GAPS = f"""{S},
+g AS (SELECT event_id, arr, CASE WHEN event_id % 3 <> 0 THEN ms END AS ms, NULLIF(symbol, 'error') AS symbol FROM s),
+gd AS (SELECT *, arr - coalesce(ms, arr) AS delay FROM g)"""
+
+
+def _with_gaps(spark, folder):
+    """Records without event time, and records without symbol."""
+    return arrivals(spark, folder).withColumns({
+        "ms": F.when(F.col("event_id") % 3 != 0, F.col("ms")), "symbol": F.nullif(F.col("symbol"), F.lit("error")),
+    })
+
+
+@query("delay_gaps", f"""WITH {_GAPS}, r AS (
+  SELECT symbol, delay, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY delay) - 1 AS rn,
+         COUNT(*) OVER (PARTITION BY symbol) AS n FROM gd),
+q AS (SELECT symbol, MAX(CASE WHEN rn = CAST(floor(CAST(0.5 AS DOUBLE) * (n - 1)) AS BIGINT) THEN delay END) AS p50
+      FROM r GROUP BY symbol),
+h AS (SELECT symbol, COUNT(*) AS n, MIN(delay) AS min_delay, {_HIST} FROM (
+        SELECT symbol, delay, {_WIDE.replace("arr - ms", "delay")} AS b FROM gd) GROUP BY symbol)
+SELECT h.*, p50 FROM h JOIN q ON q.symbol IS NOT DISTINCT FROM h.symbol""")
+def _(spark, folder):
+    """A missing event time is no delay, a missing symbol a group."""
+    rows = _with_gaps(spark, folder).withColumn("delay", delay_ms(F.col("arr"), F.col("ms")))
+    figures = rows.groupBy("symbol").agg(
+        F.count("*").alias("n"), F.min("delay").alias("min_delay"), *histogram_columns("delay", WIDE_EDGES))
+    middle = percentile_low(rows, ["symbol"], "delay", [50]).withColumnRenamed("symbol", "other")
+    return figures.join(middle, F.col("symbol").eqNullSafe(F.col("other"))).drop("other")
+
+
+@query("changelog_gaps", f"""WITH {_GAPS} SELECT event_id, arr, symbol,
+  COUNT(*) OVER (PARTITION BY symbol, ms - ms % {HOUR} ORDER BY arr, event_id ROWS UNBOUNDED PRECEDING) AS count
+FROM gd WHERE ms IS NOT NULL""")
+def _(spark, folder):
+    """Records without event time have no window and are skipped; the null symbol has its own windows."""
+    rows = require_fields(_with_gaps(spark, folder), ["ms"]).drop("user_id")
+    return agg_changelog(rows, HOUR).select("event_id", "arr", "symbol", "count")
+
+
+@query("pctl_wide", """WITH r AS (
+  SELECT l_returnflag, CAST(round(l_extendedprice * 100) AS BIGINT) AS v,
+         ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY round(l_extendedprice * 100)) - 1 AS rn,
+         COUNT(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)
+SELECT l_returnflag, MAX(CASE WHEN rn = CAST(floor(CAST(0.5 AS DOUBLE) * (n - 1)) AS BIGINT) THEN v END) AS p50,
+       MAX(CASE WHEN rn = CAST(floor(CAST(0.95 AS DOUBLE) * (n - 1)) AS BIGINT) THEN v END) AS p95
+FROM r GROUP BY l_returnflag""")
+def _(spark, folder):
+    """Percentiles of the line value in cents, a wide column."""
+    rows = table(spark, folder, "lineitem").select("l_returnflag", cents(F.col("l_extendedprice")).alias("v"))
+    return percentile_low(rows, ["l_returnflag"], "v", [50, 95])
+
+
 # ---- duplicates --------------------------------------------------------------------------
 
 @query("dedup_ttl", f"WITH {dedup(TTL)} SELECT event_id, symbol, arr, ms FROM k")
@@ -319,23 +373,79 @@ def _(spark, folder):
     return _tumbling_columns(tumbling_agg(dedup_ttl(arrivals(spark, folder), TTL), HOUR))
 
 
+CHAIN_TTL = 6 * HOUR
+
+
+@query("dedup_chain", f"""WITH RECURSIVE {S.strip()},
+k AS (
+  SELECT user_id, MIN(arr) AS arr FROM s GROUP BY user_id
+  UNION ALL
+  SELECT k.user_id, MIN(s.arr) FROM k JOIN s ON s.user_id = k.user_id AND s.arr > k.arr + {CHAIN_TTL} GROUP BY k.user_id)
+SELECT user_id, arr FROM k""")
+def _(spark, folder):
+    """Many arrivals per id: at most one record of a user in six hours, counted from the kept one."""
+    rows = arrivals(spark, folder).select("user_id", "arr", "event_id")
+    return dedup_ttl(rows, CHAIN_TTL, key="user_id").select("user_id", "arr")
+
+
 def _loads(spark, folder):
     rows = arrivals(spark, folder)
     return rows.filter(F.col("arr") < CUT_MS), rows.filter(F.col("arr") >= CUT_MS)
 
 
-@query("new_ids_anti", f"""WITH {S} SELECT event_id, arr FROM s WHERE arr >= {CUT_MS}
-AND event_id NOT IN (SELECT event_id FROM s WHERE arr < {CUT_MS})""")
+# The first and the second half of each hour: copies fall on both sides.
+_FIRST_HALF = f"arr % {HOUR} < {HOUR // 2}"
+
+
+def _halves(spark, folder):
+    rows = arrivals(spark, folder)
+    return rows.filter(_FIRST_HALF), rows.filter(f"NOT {_FIRST_HALF}")
+
+
+@query("new_ids_anti", f"""WITH {S} SELECT event_id, arr FROM s WHERE NOT {_FIRST_HALF}
+AND event_id NOT IN (SELECT event_id FROM s WHERE {_FIRST_HALF})""")
+def _(spark, folder):
+    known, fresh = _halves(spark, folder)
+    return unseen(fresh, known, "event_id").select("event_id", "arr")
+
+
+@query("seen_ids_semi", f"""WITH {S} SELECT event_id, arr FROM s WHERE NOT {_FIRST_HALF}
+AND event_id IN (SELECT event_id FROM s WHERE {_FIRST_HALF})""")
+def _(spark, folder):
+    known, fresh = _halves(spark, folder)
+    return already_seen(fresh, known, "event_id").select("event_id", "arr")
+
+
+@query("stable_ids", """SELECT event_id, sha256(event_id || '|' || user_id || '|' || event_type) AS id FROM events""")
+def _(spark, folder):
+    """An id that a repeated run gives again."""
+    rows = table(spark, folder, "events")
+    return rows.select("event_id", row_id(F.col("event_id"), F.col("user_id"), F.col("event_type")).alias("id"))
+
+
+@query("symbol_list", """WITH t AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN ' ' || event_type || ' ,, X' || user_id
+                ELSE (event_id % 4)::VARCHAR END AS text FROM events)
+SELECT event_id, CASE WHEN event_id % 2 = 1 THEN array_to_string(list_transform(range(1, event_id % 4 + 1), lambda i: 'SYM' || i), ' ')
+            ELSE array_to_string(list_filter(list_transform(string_split(text, ','), lambda x: trim(x)), lambda x: x <> ''), ' ') END AS symbols
+FROM t""")
 def _(spark, folder):
-    earlier, later = _loads(spark, folder)
-    return unseen(later, earlier, "event_id").select("event_id", "arr")
+    """The list parameter: names with blanks and gaps, or a number of generated names."""
+    listed = F.concat(F.lit(" "), F.col("event_type"), F.lit(" ,, X"), F.col("user_id").cast("string"))
+    text = F.when(F.col("event_id") % 2 == 0, listed).otherwise((F.col("event_id") % 4).cast("string"))
+    return table(spark, folder, "events").select("event_id", F.array_join(parse_symbols(text), " ").alias("symbols"))
 
 
-@query("seen_ids_semi", f"""WITH {S} SELECT event_id, arr FROM s WHERE arr >= {CUT_MS}
-AND event_id IN (SELECT event_id FROM s WHERE arr < {CUT_MS})""")
+@query("describe_events", """SELECT column_name AS col_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'
+       WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE column_type END AS data_type
+FROM (DESCRIBE events)""")
 def _(spark, folder):
-    earlier, later = _loads(spark, folder)
-    return already_seen(later, earlier, "event_id").select("event_id", "arr")
+    view = f"described_{uuid.uuid4().hex}"
+    table(spark, folder, "events").createOrReplaceTempView(view)
+    try:
+        rows = describe(spark, view).select("col_name", "data_type").collect()  # a row for each column
+    finally:
+        spark.catalog.dropTempView(view)
+    return spark.createDataFrame(rows, "col_name string, data_type string")
 
 
 # ---- validation and parsing --------------------------------------------------------------

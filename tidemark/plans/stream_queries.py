@@ -2,37 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import composite_key, units
 from tidemark.operators.windows import tumbling_agg
-from tidemark.plans.arrivals import HOUR, arrivals, arrivals_of
+from tidemark.plans.arrivals import HOUR, arrivals
 from tidemark.plans.event_queries import LATEST, TUMBLING, WAIT
-from tidemark.plans.facts import lines_of, with_product
+from tidemark.plans.facts import lines_of, order_lines, with_product
 from tidemark.plans.oracle import FACTS, S, dedup, watermark
+from tidemark.operators.latest import latest_per_key
 from tidemark.plans.registry import query
 from tidemark.plans.sales_queries import EXECUTIVE
 from tidemark.session import scratch_path
-from tidemark.sources.readers import json_stream, parquet_stream
-from tidemark.sources.sinks import write_keyed_json
+from tidemark.sources.readers import json_stream, parquet_stream, table, with_position
+from tidemark.sources.sinks import append_orders, write_keyed_json
 from tidemark.streaming import tables, windows
-from tidemark.streaming.runs import disk_state, read_batches, run_available, write_batch
+from tidemark.streaming.runs import RunTotals, disk_state, read_batches, run_available, write_batch
+
+
+LOADS = 3
 
 
 def _parquet_sink(stream: DataFrame, path: str):
     return stream.writeStream.format("parquet").option("path", f"{path}/out")
 
 
+def _by_load(rows: DataFrame, order: str) -> list[DataFrame]:
+    """All rows as loads of equal stretches of ``order``, a number."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    if low is None:
+        return [rows]
+    step = (high - low) // LOADS + 1
+    return [rows.filter((F.col(order) >= low + i * step) & (F.col(order) < low + (i + 1) * step)) for i in range(LOADS)]
+
+
+def _run_loads(
+    spark: SparkSession, rows: DataFrame, order: str, path: str, start: Callable[[DataFrame], object],
+    after: Callable[[int], None] = lambda load: None,
+) -> None:
+    """The loads reach a folder one after another; each is read by a new run on one checkpoint."""
+    for number, load in enumerate(_by_load(rows, order)):
+        load.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+        with disk_state(spark):
+            run_available(start(stream), f"{path}/checkpoint")
+        after(number)
+
+
 @query("stream_json_scan", f"WITH {S} SELECT event_id, symbol, price, qty, ms, arr FROM s")
 def _(spark, folder):
-    """The arrivals as a JSON log, scanned as a stream."""
+    """The arrivals as a JSON log, scanned as a stream of one file a micro-batch."""
     path = scratch_path(spark, "json-scan")
     rows = arrivals(spark, folder).drop("user_id")
-    rows.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{path}/log")
-    stream = json_stream(spark, f"{path}/log", rows.schema)
+    rows.select(F.to_json(F.struct("*")).alias("value")).repartition(LOADS).write.text(f"{path}/log")
+    stream = json_stream(spark, f"{path}/log", rows.schema, max_files=1)
     run_available(_parquet_sink(stream, path), f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/out").select("event_id", "symbol", "price", "qty", "ms", "arr")
+    return spark.read.schema(rows.schema).parquet(f"{path}/out").select("event_id", "symbol", "price", "qty", "ms", "arr")
 
 
 @query("keyed_json_rows", f"""WITH {S}, w AS ({TUMBLING} FROM s GROUP BY 1, 2, 3)
@@ -48,78 +77,81 @@ def _(spark, folder):
     )
 
 
-@query("watermark_window_stream", f"""WITH w AS (
-  SELECT user_id, epoch_us(ts) // 1000 // {HOUR} * {HOUR} AS window_start_ms, COUNT(*) AS count,
-         ROUND(SUM(value), 6) AS sum
-  FROM events GROUP BY 1, 2)
+@query("watermark_window_stream", f"""WITH {S},
+lim AS (SELECT MIN(arr) AS lo, (MAX(arr) - MIN(arr)) // {LOADS} + 1 AS step FROM s),
+l AS (SELECT s.*, (arr - lo) // step AS load FROM s, lim),
+tops AS (SELECT load, MAX(ms) AS top FROM l GROUP BY load),
+marks AS (SELECT a.load, MAX(b.top) - {2 * HOUR} AS mark FROM tops a LEFT JOIN tops b ON b.load < a.load GROUP BY a.load),
+w AS (SELECT user_id, ms - ms % {HOUR} AS window_start_ms, COUNT(*) AS count, ROUND(SUM(price), 6) AS sum
+      FROM l JOIN marks USING (load) WHERE mark IS NULL OR ms - ms % {HOUR} + {HOUR} > mark GROUP BY 1, 2)
 SELECT user_id, window_start_ms, window_start_ms + {HOUR} AS window_end_ms, count, sum FROM w
-WHERE window_start_ms + {HOUR} <= (SELECT MAX(epoch_us(ts) // 1000) - {2 * HOUR} FROM events)""")
+WHERE window_start_ms + {HOUR} <= (SELECT MAX(top) - {2 * HOUR} FROM tops)""")
 def _(spark, folder):
-    """Spark's own watermark: windows that it did not pass stay open and are not emitted."""
-    disk_state(spark)
+    """Spark's own watermark over three loads: rows behind it are dropped, windows it did not pass stay open."""
     path = scratch_path(spark, "watermark")
-    stream = windows.with_event_time(parquet_stream(spark, folder, "events"))
-    out = windows.watermarked_windows(stream, "2 hours", "1 hour", ["user_id"], "value")
-    run_available(_parquet_sink(out, path), f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/out").withColumn("sum", F.round("sum", 6))
+    rows = arrivals(spark, folder).select("user_id", "ms", "price", "arr")
+
+    def start(stream):
+        timed = windows.with_event_time(stream, "ms")
+        return _parquet_sink(windows.watermarked_windows(timed, "2 hours", "1 hour", ["user_id"], "price"), path)
+
+    _run_loads(spark, rows, "arr", path, start)
+    schema = "user_id long, window_start_ms long, window_end_ms long, count long, sum double"
+    return spark.read.schema(schema).parquet(f"{path}/out").withColumn("sum", F.round("sum", 6))
+
+
+@query("run_totals", f"""WITH {S} SELECT COUNT(*) AS input_rows FROM s""")
+def _(spark, folder):
+    """Rows that a run of many micro-batches took in, from its listener."""
+    path = scratch_path(spark, "totals")
+    rows = arrivals(spark, folder).select("event_id", "arr")
+    with RunTotals(spark) as totals:
+        _run_loads(spark, rows, "arr", path, lambda s: windows.idempotent_writer(s, f"{path}/out"))
+    return table(spark, folder, "events").agg(F.lit(totals.input_rows).cast("long").alias("input_rows"))
 
 
 @query("changelog_stream", f"WITH {S} {TUMBLING} FROM s GROUP BY 1, 2, 3")
 def _(spark, folder):
-    """Update mode; the last change of each key is its aggregate."""
-    disk_state(spark)
+    """Update mode over three loads; the last change of each key is its aggregate."""
     path = scratch_path(spark, "changelog")
-    stream = arrivals_of(parquet_stream(spark, folder, "events"))
-    writer = windows.changelog_writer(tumbling_agg(stream, HOUR), f"{path}/out")
-    run_available(writer, f"{path}/checkpoint")
-    changes = read_batches(spark, f"{path}/out")
-    columns = ["window_end_ms", "count", "sum_qty", "gmv"]
-    last = changes.groupBy("symbol", "window_start_ms").agg(
-        F.max_by(F.struct(*columns), "batch_id").alias("row")
-    )
-    return last.select("symbol", "window_start_ms", "row.*").withColumn("gmv", F.round("gmv", 4))
+    rows = arrivals(spark, folder)
+    _run_loads(spark, rows, "arr", path, lambda s: windows.changelog_writer(tumbling_agg(s, HOUR), f"{path}/out"))
+    changes = read_batches(spark, f"{path}/out", tumbling_agg(rows, HOUR).schema)
+    last = latest_per_key(changes, ["symbol", "window_start_ms"], ["batch_id"])
+    return last.select("symbol", "window_start_ms", "window_end_ms", "count", "sum_qty", F.round("gmv", 4).alias("gmv"))
 
 
 @query("strict_window_stream", f"""WITH {watermark(WAIT)}
 SELECT event_id, arr, ms, watermark_ms FROM m WHERE ms < watermark_ms""")
 def _(spark, folder):
-    """The late output of the record-level rule on a stream."""
+    """The late output of the record-level rule over three loads; one number is carried between them."""
     path = scratch_path(spark, "strict")
-    stream = arrivals_of(parquet_stream(spark, folder, "events")).select("event_id", "arr", "ms")
-    writer = stream.writeStream.foreachBatch(windows.strict_late_batches(path, WAIT))
-    run_available(writer, f"{path}/checkpoint")
-    return read_batches(spark, f"{path}/late").select("event_id", "arr", "ms", "watermark_ms")
+    rows = arrivals(spark, folder).select("event_id", "arr", "ms")
+    _run_loads(spark, rows, "arr", path, lambda s: s.writeStream.foreachBatch(windows.strict_late_batches(path, WAIT)))
+    late = read_batches(spark, f"{path}/late", windows.late_schema(rows.schema))
+    return late.select("event_id", "arr", "ms", "watermark_ms")
 
 
 @query("restart_idempotent", f"""WITH {S}, k AS (SELECT DISTINCT event_id, symbol, price, qty, ms FROM s)
 {TUMBLING} FROM k GROUP BY 1, 2, 3""")
 def _(spark, folder):
-    """Three loads arrive one after another, each read by a new run on one checkpoint.
+    """Three loads; every batch is delivered to the sink twice, as after a crash between write and commit.
 
-    The second load's batch is delivered to the sink twice, as after a crash between
-    write and commit. Deduplication by id and one output folder per batch leave the
-    totals as if nothing had happened.
+    Deduplication by id and one output folder per batch leave the totals as if nothing had happened.
     """
-    disk_state(spark)
     path = scratch_path(spark, "restart")
     rows = arrivals(spark, folder)
-    low, high = rows.agg(F.min("arr"), F.max("arr")).first()
-    step = (high - low) // 3 + 1
-    for load in range(3):
-        start = low + load * step
-        part = rows.filter((F.col("arr") >= start) & (F.col("arr") < start + step))
-        part.write.mode("append").parquet(f"{path}/in")
-        deliveries = 2 if load == 1 else 1
-
-        def write(df: DataFrame, batch_id: int, deliveries: int = deliveries) -> None:
-            for _ in range(deliveries):
-                write_batch(tumbling_agg(df, HOUR), f"{path}/out", batch_id)
 
-        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
-        once = windows.dedup_within(windows.with_event_time(stream, "ms"), "event_id", "12 hours")
-        run_available(once.writeStream.foreachBatch(write), f"{path}/checkpoint")
-    totals = read_batches(spark, f"{path}/out").groupBy("symbol", "window_start_ms", "window_end_ms")
-    return totals.agg(
+    def write(df: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            write_batch(tumbling_agg(df, HOUR), f"{path}/out", batch_id)
+
+    def start(stream):
+        return windows.dedup_within(windows.with_event_time(stream, "ms"), "event_id", "12 hours").writeStream.foreachBatch(write)
+
+    _run_loads(spark, rows, "arr", path, start)
+    totals = read_batches(spark, f"{path}/out", tumbling_agg(rows, HOUR).schema)
+    return totals.groupBy("symbol", "window_start_ms", "window_end_ms").agg(
         F.sum("count").alias("count"), F.sum("sum_qty").alias("sum_qty"),
         F.round(F.sum("gmv"), 4).alias("gmv"),
     )
@@ -127,48 +159,48 @@ def _(spark, folder):
 
 @query("upsert_stream", LATEST)
 def _(spark, folder):
+    """Three loads, compacted after the second."""
     path = scratch_path(spark, "upsert")
-    stream = parquet_stream(spark, folder, "events").drop("props")
     keys, version = ["user_id"], ["ts", "event_id"]
-    run_available(tables.upsert_writer(stream, path, keys, version), f"{path}/checkpoint")
-    return tables.read_upsert(spark, path, keys, version)
+    rows = table(spark, folder, "events").drop("props")
+
+    def after(load: int) -> None:
+        if load == 1:
+            tables.compact_upsert(spark, path, keys, version, rows.schema)
 
+    _run_loads(spark, rows, "event_id", path, lambda s: tables.upsert_writer(with_position(s), path, keys, version), after)
+    return tables.read_upsert(spark, path, keys, version, rows.schema)
 
-@query("orders_append", f"""WITH {FACTS} SELECT strftime(event_time, '%Y-%m') AS order_month, COUNT(*) AS lines,
+
+@query("orders_append", f"""WITH {FACTS} SELECT CAST(date_trunc('month', event_time) AS DATE) AS order_date, COUNT(*) AS lines,
 CAST(SUM(gross) AS DOUBLE) AS gross FROM f GROUP BY 1""")
 def _(spark, folder):
-    """Raw order lines appended by month, then read back by month."""
+    """Raw order lines appended load by load, in folders by month as the tables span years, then read back."""
     path = scratch_path(spark, "orders")
-    lines = lines_of(parquet_stream(spark, folder, "lineitem"))
-    monthly = lines.withColumn("order_month", F.date_format("event_time", "yyyy-MM"))
-    run_available(
-        _parquet_sink(monthly, path).partitionBy("order_month"), f"{path}/checkpoint"
-    )
-    return spark.read.parquet(f"{path}/out").groupBy(
-        F.col("order_month").cast("string").alias("order_month")
-    ).agg(F.count("*").alias("lines"), units(F.sum("gross")).alias("gross"))
+    stream = lines_of(parquet_stream(spark, folder, "lineitem", max_files=1))
+    run_available(stream.writeStream.foreachBatch(lambda df, _: append_orders(df, f"{path}/out", "month")), f"{path}/checkpoint")
+    days = spark.read.schema(StructType([*stream.schema.fields]).add("order_date", "date")).parquet(f"{path}/out")
+    return days.groupBy("order_date").agg(F.count("*").alias("lines"), units(F.sum("gross")).alias("gross"))
 
 
 @query("kpi_stream", EXECUTIVE)
 def _(spark, folder):
-    """Executive KPIs kept current by two streams: sums, and orders seen for the first time."""
-    disk_state(spark)
+    """Executive KPIs kept current over three loads, read back from their snapshot."""
     path = scratch_path(spark, "kpi")
-    source = lines_of(parquet_stream(spark, folder, "lineitem"))
-    sums, orders = f"{path}/sums", f"{path}/orders"
-    run_available(
-        tables.kpi_sum_writer(with_product(source, spark, folder), sums), f"{path}/checkpoint-sums"
-    )
-    run_available(tables.new_order_writer(source, orders), f"{path}/checkpoint-orders")
-    return tables.kpi_snapshot(spark, sums, orders).withColumn("avg_ticket", F.round("avg_ticket", 6))
+    lines = with_product(order_lines(spark, folder), spark, folder).select("order_id", "gross", "net_revenue", "cogs", "status")
+    _run_loads(spark, lines, "order_id", path, lambda s: s.writeStream.foreachBatch(tables.kpi_batches(path)))
+    return tables.kpi_snapshot(spark, path).withColumn("avg_ticket", F.round("avg_ticket", 6))
 
 
 @query("dedup_stream", f"WITH {dedup(12 * HOUR)} SELECT event_id, symbol, ms FROM k")
 def _(spark, folder):
-    """Deduplication with a bounded state: ids are kept for 12 hours of event time."""
-    disk_state(spark)
+    """Deduplication over three loads with a bounded state: ids are kept for 12 hours of event time."""
     path = scratch_path(spark, "dedup")
-    stream = arrivals_of(parquet_stream(spark, folder, "events")).select("event_id", "symbol", "ms")
-    once = windows.dedup_within(windows.with_event_time(stream, "ms"), "event_id", "12 hours")
-    run_available(_parquet_sink(once, path), f"{path}/checkpoint")
-    return spark.read.parquet(f"{path}/out").select("event_id", "symbol", "ms")
+    rows = arrivals(spark, folder).select("event_id", "symbol", "ms", "arr")
+
+    def start(stream):
+        once = windows.dedup_within(windows.with_event_time(stream, "ms"), "event_id", "12 hours")
+        return _parquet_sink(once, path)
+
+    _run_loads(spark, rows, "arr", path, start)
+    return spark.read.schema("event_id long, symbol string, ms long").parquet(f"{path}/out")

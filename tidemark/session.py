@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL: dict[str, str] = {}
+
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, UTC and a disk-backed state store.
@@ -37,17 +40,22 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``).
+    """The shared folder of the cluster, ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only where the setting is absent, as in tests.
+    Where it is unset, a local session (one machine) gets a folder of its own for its life; a cluster gets an error,
+    as a folder of one machine would split the data over machines.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if root:
+        return root.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _LOCAL.setdefault(spark.sparkContext.applicationId, "") or _own_folder(spark)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    folder = _LOCAL[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -20,15 +20,9 @@ TARGET_SCHEMA = T.StructType([
 ])
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table. Its schema is read from the files once per process."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A Parquet table, one file or a folder of part files."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -36,6 +30,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath).isDirectory()
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
@@ -120,9 +119,17 @@ def kafka_stream(
 def parquet_stream(
     spark: SparkSession, folder: str, name: str, max_files: int | None = None
 ) -> DataFrame:
-    """The files of one Parquet table as a stream."""
-    schema = table(spark, folder, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """The files of one Parquet table as a stream: part files of a folder, or the one file."""
+    path = f"{folder}/{name}.parquet"
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def with_position(stream: DataFrame) -> DataFrame:
+    """Add ``position``: the place of a row in a file log, in order of arrival."""
+    return stream.withColumn("position", F.struct(
+        "_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.clean import encode_json
@@ -23,9 +23,10 @@ def write_versioned(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; an empty input is an error."""
-    if df.isEmpty():
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).csv(path)
+    if not seen.get["rows"]:
         raise ValueError("no rows to write")
-    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_keyed_json(df: DataFrame, key: Column, path: str) -> None:
@@ -72,7 +73,10 @@ def run_named(spark: SparkSession, named: Mapping[str, str]) -> dict[str, DataFr
     return {name: spark.sql(text) for name, text in named.items()}
 
 
-def append_orders(df: DataFrame, path: str) -> None:
-    """Append raw order facts, split by day so that readers prune."""
-    df.withColumn("order_date", F.to_date("event_time")).write.mode("append") \
-        .partitionBy("order_date").parquet(path)
+def append_orders(df: DataFrame, path: str, unit: str = "day") -> None:
+    """Append raw order facts, split by day (or a longer ``unit``, by its first day) so that readers prune.
+
+    Each part is written by one task, large ones by several.
+    """
+    dated = df.withColumn("order_date", F.to_date(F.date_trunc(unit, "event_time")))
+    dated.hint("rebalance", "order_date").write.mode("append").partitionBy("order_date").parquet(path)

@@ -2,47 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 BatchWriter = Callable[[DataFrame, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def disk_state(spark: SparkSession) -> None:
-    """Keep stream state in RocksDB, so that it may exceed executor memory."""
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Keep stream state in RocksDB, so that it may exceed executor memory; the session's own setting comes back."""
+    before = spark.conf.get(_PROVIDER, None)
     spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
 
 
 def run_available(
-    writer: DataStreamWriter, checkpoint: str, timeout_s: int = 3600
+    writer: DataStreamWriter, checkpoint: str, timeout_s: int | None = None
 ) -> StreamingQuery:
-    """Process everything that is there, then stop; failures of the query surface."""
+    """Process everything that is there, then stop; failures of the query surface. No time limit unless one is given."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
-        if not query.awaitTermination(timeout_s):
+        if timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_s):
             raise TimeoutError(f"stream did not end in {timeout_s} s")
     finally:
         query.stop()
     return query
 
 
-def state_figures(query: StreamingQuery) -> list[dict]:
-    """Open state and late drops of each stateful operator, per micro-batch."""
-    return [
-        {
-            "batch_id": progress["batchId"],
-            "input_rows": progress["numInputRows"],
-            "rows_per_second": progress["processedRowsPerSecond"],
-            "state_rows": op["numRowsTotal"],
-            "late_rows": op["numRowsDroppedByWatermark"],
-        }
-        for progress in query.recentProgress for op in progress["stateOperators"]
-    ]
+class RunTotals(StreamingQueryListener):
+    """Totals of all micro-batches of the queries that run while it listens, however many they are."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.batches = self.input_rows = self.late_rows = self.state_rows = self.ended = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended += 1
+
+    def onQueryProgress(self, event) -> None:
+        self.batches += 1
+        self.input_rows += event.progress.numInputRows
+        self.late_rows += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.state_rows = max([self.state_rows, *(op.numRowsTotal for op in event.progress.stateOperators)])
+
+    def __enter__(self) -> RunTotals:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.streams.removeListener(self)
 
 
 def run_continuously(
@@ -61,23 +88,24 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_path(path, batch_id))
 
 
+def is_complete(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Whether the write of this batch ended: one look-up."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{batch_path(path, batch_id)}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def complete_batches(spark: SparkSession, path: str) -> list[int]:
-    """Ids of the batches whose write ended, in order."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("batch_id=") and fs.exists(marker):
-            done.append(int(name.split("=")[1]))
-    return sorted(done)
-
-
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a sink, with their ``batch_id``."""
-    return spark.read.option("basePath", path).parquet(path).withColumn(
-        "batch_id", F.col("batch_id").cast("long")
-    )
+    """Ids of the batches whose write ended, in order: one listing."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType, after: int = -1, upto: int | None = None) -> DataFrame:
+    """The complete batches of a sink, with their ``batch_id``; without any, no rows of ``schema``."""
+    done = [b for b in complete_batches(spark, path) if b > after and (upto is None or b <= upto)]
+    full = StructType([f for f in schema if f.name != "batch_id"])
+    if not done:
+        return spark.createDataFrame([], full).withColumn("batch_id", F.lit(None).cast("long"))
+    rows = spark.read.schema(full.add("batch_id", "long")).option("basePath", path)
+    return rows.parquet(*[batch_path(path, b) for b in done])

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import units
 from tidemark.operators.latest import latest_per_key
-from tidemark.streaming.runs import batch_path, complete_batches, read_batches, write_batch
+from tidemark.sources.readers import read_snapshot
+from tidemark.sources.sinks import write_snapshot
+from tidemark.streaming.runs import BatchWriter, batch_path, complete_batches, is_complete, read_batches, write_batch
 
 
 def upsert_writer(
@@ -18,70 +21,81 @@ def upsert_writer(
 ) -> DataStreamWriter:
     """Write the newest row per key of each micro-batch below ``path/log``; readers merge.
 
-    The cost of a batch follows the batch, not the table.
+    The cost of a batch follows the batch, not the table. A ``position`` column
+    (``readers.with_position``) decides between equal versions: the later one wins.
     """
+    order = [*version, *(["position"] if "position" in stream.columns else [])]
     return stream.writeStream.foreachBatch(
-        lambda df, batch_id: write_batch(latest_per_key(df, keys, version), f"{path}/log", batch_id)
+        lambda df, batch_id: write_batch(latest_per_key(df, keys, order).drop("position"), f"{path}/log", batch_id)
     )
 
 
 def read_upsert(
-    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str]
+    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str], schema: StructType,
+    upto: int | None = None,
 ) -> DataFrame:
     """Newest row per key; of equal versions the later batch wins.
 
-    Reads the last compacted base and only the batches after it.
+    Reads the last compacted base and only the complete batches after it, up to ``upto``.
     """
-    rows = read_batches(spark, f"{path}/log")
-    bases = complete_batches(spark, f"{path}/base")
+    bases = [b for b in complete_batches(spark, f"{path}/base") if upto is None or b <= upto]
+    after = bases[-1] if bases else -1
+    rows = read_batches(spark, f"{path}/log", schema, after, upto)
     if bases:
-        base = spark.read.parquet(batch_path(f"{path}/base", bases[-1]))
-        rows = rows.filter(F.col("batch_id") > bases[-1]).unionByName(
-            base.withColumn("batch_id", F.lit(bases[-1]).cast("long"))
-        )
+        base = spark.read.schema(schema).parquet(batch_path(f"{path}/base", after))
+        rows = rows.unionByName(base.withColumn("batch_id", F.lit(after).cast("long")))
     return latest_per_key(rows, keys, [*version, "batch_id"]).drop("batch_id")
 
 
 def compact_upsert(
-    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str]
+    spark: SparkSession, path: str, keys: Sequence[str], version: Sequence[str], schema: StructType
 ) -> None:
-    """Fold all complete batches into a new base; the old base stays until this one is whole."""
-    upto = complete_batches(spark, f"{path}/log")[-1]
-    write_batch(read_upsert(spark, path, keys, version), f"{path}/base", upto)
-
-
-def kpi_sum_writer(lines: DataFrame, path: str) -> DataStreamWriter:
-    """Running sums of the executive KPIs; the state is one row."""
-    paid = F.col("status") == "PAID"
-    profit = F.col("net_revenue") - F.col("cogs")
-    sums = lines.groupBy().agg(
-        F.sum("gross").alias("g"),
-        F.coalesce(F.sum(F.when(paid, profit)), F.lit(0)).alias("p"),
-    )
-    return sums.writeStream.outputMode("complete").foreachBatch(
-        lambda df, batch_id: write_batch(df, path, batch_id)
-    )
+    """Fold the complete batches into a new base; the old base stays until this one is whole."""
+    done = complete_batches(spark, f"{path}/log")
+    if done:
+        write_batch(read_upsert(spark, path, keys, version, schema, done[-1]), f"{path}/base", done[-1])
 
 
-def new_order_writer(lines: DataFrame, path: str) -> DataStreamWriter:
-    """Number of orders seen for the first time, per micro-batch; ids are the state."""
-    fresh = lines.select("order_id").dropDuplicates(["order_id"])
-    return fresh.writeStream.foreachBatch(
-        lambda df, batch_id: write_batch(df.agg(F.count("*").alias("orders")), path, batch_id)
-    )
+KPI_TOTALS = "g long, p long, orders long"
 
 
-def kpi_snapshot(spark: SparkSession, sums_path: str, orders_path: str) -> DataFrame | None:
-    """The executive KPIs as of the last complete batches; None before the first."""
-    done = complete_batches(spark, sums_path)
-    if not done:
-        return None
-    sums = spark.read.parquet(batch_path(sums_path, done[-1])).withColumn("orders", F.lit(0))
-    orders = read_batches(spark, orders_path).select("orders")
-    both = sums.unionByName(orders, allowMissingColumns=True).agg(
-        units(F.max("g")).alias("gmv"), units(F.max("p")).alias("net_profit"),
-        F.sum("orders").alias("orders"),
-    )
-    return both.select(
-        "gmv", "net_profit", F.try_divide(F.col("gmv"), F.col("orders")).alias("avg_ticket")
-    )
+def kpi_batches(path: str) -> BatchWriter:
+    """Batch writer that keeps the executive KPIs current.
+
+    A batch adds its sums and its orders seen for the first time to the totals of the
+    batch before it and writes both under its own id, then the snapshot at
+    ``path/snapshot``, a fixed place. A repeated batch replaces its own figures, and a
+    crash between two writes leaves the last whole totals: sums and orders always
+    belong to the same rows. Order ids that were seen are kept for ever, one folder a
+    batch; that is what a count of distinct orders takes.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        rows = df.persist()
+        try:
+            known = read_batches(spark, f"{path}/orders", StructType().add("order_id", "long"), upto=batch_id - 1)
+            write_batch(rows.select("order_id").distinct().join(known, "order_id", "left_anti"), f"{path}/orders", batch_id)
+            fresh = spark.read.schema("order_id long").parquet(batch_path(f"{path}/orders", batch_id))
+            profit = F.when(F.col("status") == "PAID", F.col("net_revenue") - F.col("cogs"))
+            parts = rows.agg(F.sum("gross").alias("g"), F.sum(profit).alias("p")).withColumn("orders", F.lit(0).cast("long"))
+            parts = parts.unionByName(fresh.agg(F.count("*").alias("orders")), allowMissingColumns=True)
+            if batch_id and is_complete(spark, f"{path}/totals", batch_id - 1):
+                parts = parts.unionByName(spark.read.schema(KPI_TOTALS).parquet(batch_path(f"{path}/totals", batch_id - 1)))
+            write_batch(parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("g", "p", "orders")]), f"{path}/totals", batch_id)
+            totals = spark.read.schema(KPI_TOTALS).parquet(batch_path(f"{path}/totals", batch_id))
+            write_snapshot(kpi_figures(totals), f"{path}/snapshot")
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def kpi_figures(totals: DataFrame) -> DataFrame:
+    figures = totals.select(units(F.col("g")).alias("gmv"), units(F.col("p")).alias("net_profit"), "orders")
+    return figures.select("gmv", "net_profit", F.try_divide(F.col("gmv"), F.col("orders")).alias("avg_ticket"))
+
+
+def kpi_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The snapshot at its fixed place; None before the first batch."""
+    return read_snapshot(spark, f"{path}/snapshot", StructType().add("gmv", "double").add("net_profit", "double").add("avg_ticket", "double"))

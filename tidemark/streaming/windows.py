@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
-from tidemark.functions.scalars import epoch_ms
 from tidemark.operators.arrival import is_late, running_watermark
 from tidemark.streaming.runs import (
-    BatchWriter, batch_path, complete_batches, write_batch,
+    BatchWriter, batch_path, is_complete, write_batch,
 )
 
 
@@ -64,18 +64,17 @@ def strict_late_batches(path: str, wait_ms: int) -> BatchWriter:
 
     Inside a micro-batch the watermark is a prefix scan; from batch to batch only
     one number, the largest event time so far, is carried. It is stored under the
-    batch id, so a repeated batch starts from the same number. Writes ``on_time``,
-    ``late`` and ``carry`` below ``path``.
+    batch id, and a batch looks up its predecessor's alone, so a repeated batch starts from
+    the same number. Writes ``on_time``, ``late`` and ``carry`` below ``path``.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         rows = df.persist()
         try:
-            earlier = [b for b in complete_batches(spark, f"{path}/carry") if b < batch_id]
             carry = None
-            if earlier:
-                carry = spark.read.parquet(batch_path(f"{path}/carry", earlier[-1])).first()["max_ms"]
+            if batch_id and is_complete(spark, f"{path}/carry", batch_id - 1):
+                carry = spark.read.parquet(batch_path(f"{path}/carry", batch_id - 1)).first()["max_ms"]
             top = F.greatest(F.col("max_ms"), F.lit(carry).cast("long"))
             marked = running_watermark(rows, wait_ms).withColumns(
                 {"max_ms": top, "watermark_ms": top - wait_ms}
@@ -99,5 +98,6 @@ def with_event_time(df: DataFrame, ms: str | None = None) -> DataFrame:
     return df.withColumn("event_time", F.timestamp_millis(F.col(ms)))
 
 
-def event_ms(df: DataFrame) -> DataFrame:
-    return df.withColumn("ms", epoch_ms(F.col("ts")))
+def late_schema(rows: StructType) -> StructType:
+    """Schema of ``on_time`` and ``late``."""
+    return StructType([*rows.fields]).add("max_ms", "long").add("watermark_ms", "long")
