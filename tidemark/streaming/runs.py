@@ -101,9 +101,10 @@ def complete_batches(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
 
-def read_batches(spark: SparkSession, path: str, schema: StructType, after: int = -1, upto: int | None = None) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: StructType | str, after: int = -1, upto: int | None = None) -> DataFrame:
     """The complete batches of a sink, with their ``batch_id``; without any, no rows of ``schema``."""
     done = [b for b in complete_batches(spark, path) if b > after and (upto is None or b <= upto)]
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = StructType([f for f in schema if f.name != "batch_id"])
     if not done:
         return spark.createDataFrame([], full).withColumn("batch_id", F.lit(None).cast("long"))
