@@ -19,12 +19,18 @@ from tidemark.session import scratch_path
 BUCKET = "__bucket"
 # Bytes of input, by Spark's own estimate, that make one bucket.
 BUCKET_BYTES = 64 << 20
+# Rows that make one bucket, and the size from which an estimate is none (a pebibyte).
+BUCKET_ROWS, NO_ESTIMATE = 1_000_000, 1 << 50
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Buckets follow the size of the input; small inputs use the session's parallelism."""
+    """Buckets follow the size of the input; small inputs use the session's parallelism.
+
+    Where Spark has no estimate, as for rows that come from Python, the rows are counted.
+    """
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    wanted = -(-size // BUCKET_BYTES) if size < NO_ESTIMATE else -(-df.count() // BUCKET_ROWS)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
 def with_order_buckets(
