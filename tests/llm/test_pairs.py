@@ -134,7 +134,7 @@ TESTS = [(1, f"{ITEM}\nit is mostly blue said the keeper of the light"), (2, ITE
          (6, " ".join(f"long{i}" for i in range(130))), (7, "short question of several words here\nyes")]
 
 
-def tests_of(spark, rows=TESTS):
+def items_of(spark, rows=TESTS):
     return spark.createDataFrame(rows, "item_id bigint, text string")
 
 
@@ -148,13 +148,13 @@ def test_items_are_found(spark):
         (50, f"{pad(1)} {TESTS[0][1]} {pad(2)}"), (51, f"{pad(3, 47)} {ITEM} {pad(4)}"), (52, f"{pad(5)} {TESTS[5][1].upper()} {pad(6)}"),
         (53, f"{pad(7)} short question of several words here\nyes {pad(8)}"), (54, f"{pad(9)} what colour has the sky {pad(10)}"),
         (55, f"{pad(1)} too short {pad(2)}"), (56, pad(11)), (None, ITEM), (57, " ".join(TESTS[5][1].split()[:60]) + pad(3))]
-    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), tests_of(spark)).collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), items_of(spark)).collect()}
     assert got == {(50, 1), (50, 2), (51, 2), (52, 6), (53, 7), (None, 2)}
-    clean = decontaminate.clean(documents(spark, docs), tests_of(spark))
+    clean = decontaminate.clean(documents(spark, docs), items_of(spark))
     assert clean.columns == documents(spark).columns
     assert sorted(r["doc_id"] for r in clean.collect() if (r["doc_id"] or 0) >= 50) == [54, 55, 56, 57]
-    assert decontaminate.contaminated(nothing(spark), tests_of(spark)).count() == 0
-    assert decontaminate.contaminated(documents(spark, docs), tests_of(spark, [])).count() == 0
+    assert decontaminate.contaminated(nothing(spark), items_of(spark)).count() == 0
+    assert decontaminate.contaminated(documents(spark, docs), items_of(spark, [])).count() == 0
 
 
 def test_slices_give_the_same(spark, small, monkeypatch):

@@ -32,7 +32,6 @@ from tidemark.llm.common import crc_bucket, texts, written
 
 DEPTH = 5
 FAST, FAST_WORDS = 1 << 20, 1 << 18
-SLOTS = 1 << 21
 CHUNK = 1 << 21
 #: Ends a text; no byte of UTF-8 has this value.
 END = 255
@@ -143,45 +142,87 @@ def _decisions(key: Column, depth: int) -> Column:
     ) for k in range(8)])
 
 
-def tree(counts: DataFrame) -> list[DataFrame]:
-    """For each depth ``x`` and ``stop`` (chance of a one if the path ends here)."""
-    deepest = counts.select("n", F.explode(_decisions(F.col("key"), DEPTH)).alias("d")).groupBy("d.x").agg(
-        F.sum(F.when(F.col("d.bit") == 0, F.col("n")).otherwise(0)).alias("n0"),
-        F.sum(F.when(F.col("d.bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-    levels = [written(deepest.select("x", "n0", "n1", _kt(F.col("n0"), F.col("n1")).alias("kt")).withColumn("lw", F.col("kt")), "nodes")]
+def tree(counts: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """For each depth ``x`` and ``stop`` (chance of a one if the path ends here), and ``code_lengths`` of all sequences.
+
+    The deepest nodes are counted where their context's sequences are dealt to, so no decision is dealt by itself.
+    """
+    context = F.shiftright("key", 8)
+    deepest = counts.repartition(context).select(context.alias("c"), "n", F.explode(_decisions(F.col("key"), DEPTH)).alias("d"))
+    deepest = deepest.select("c", "n", F.col("d.x").alias("x"), "d.bit").groupBy("c", "x").agg(
+        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
+    kt = _kt(F.col("n0"), F.col("n1"))
+    levels = [written(deepest.select("x", "n0", "n1"), "nodes")]
     for depth in range(DEPTH - 1, -1, -1):
         parent = F.col("x").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
-        level = levels[0].groupBy(parent.alias("x")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("lw").alias("below"))
-        level = level.withColumn("kt", _kt(F.col("n0"), F.col("n1")))
-        top = F.greatest("kt", "below")
-        levels.insert(0, written(level.select("x", "n0", "n1", "kt", (
-            math.log(0.5) + top + F.log(F.exp(F.col("kt") - top) + F.exp(F.col("below") - top))).alias("lw")), "nodes"))
+        below = F.col("lw") if depth < DEPTH - 1 else kt
+        level = levels[0].groupBy(parent.alias("x")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum(below).alias("below"))
+        level = level.withColumn("kt", kt).withColumn("top", F.greatest("kt", "below"))
+        both = F.log(F.exp(F.col("kt") - F.col("top")) + F.exp(F.col("below") - F.col("top")))
+        levels.insert(0, written(level.select("x", "n0", "n1", (math.log(0.5) + F.col("top") + both).alias("lw")), "nodes"))
     out, above = [], None
     for depth, level in enumerate(levels):
-        own = level.select("x", ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)).alias("p"), (
-            F.exp(math.log(0.5) + F.col("kt") - F.col("lw")) if depth < DEPTH else F.lit(1.0)).alias("w"))
+        last = depth == DEPTH
+        share = F.exp(math.log(0.5) + kt - F.col("lw")) if not last else F.lit(1.0)
+        own = level.select("x", ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)).alias("p"), share.alias("w"), *(["n0", "n1"] if last else []))
         if above is None:
-            mixed = own.select("x", "p", "w", F.lit(0.0).alias("acc"), F.lit(1.0).alias("rest"))
+            mixed = own.withColumns({"acc": F.lit(0.0), "rest": F.lit(1.0)})
         else:
             up = above.select(F.col("x").alias("up"), "acc", "rest")
             mixed = own.withColumn("up", F.col("x").bitwiseAND(F.lit((1 << 8 * depth) - 1))).join(up, "up")
-        above = written(mixed.select(
-            "x", (F.col("acc") + F.col("rest") * F.col("p")).alias("stop"),
-            (F.col("acc") + F.col("rest") * F.col("w") * F.col("p")).alias("acc"), (F.col("rest") * (1 - F.col("w"))).alias("rest")), "mixed")
+        stop = (F.col("acc") + F.col("rest") * F.col("p")).alias("stop")
+        above = written(mixed.select("x", stop, "n0", "n1") if last else mixed.select(
+            "x", stop, (F.col("acc") + F.col("rest") * F.col("w") * F.col("p")).alias("acc"), (F.col("rest") * (1 - F.col("w"))).alias("rest")), "mixed")
         out.append(above.select("x", "stop"))
-    return out
+    return out, code_lengths(above)
 
 
-def code_lengths(keys: DataFrame, levels: list[DataFrame], seen: bool) -> DataFrame:
-    """``key`` and ``lp`` (decimal logarithm of the chance of the last byte); ``seen``: all nodes are at the full depth."""
+def code_lengths(deepest: DataFrame) -> DataFrame:
+    """``key``, ``n`` and ``lp`` (decimal logarithm of the chance of the last byte) of the sequences that the nodes hold.
+
+    Nodes are streamed in order of context and bits; a node's sum is that of the node one bit before plus its decision.
+    """
+    rows = deepest.repartition(F.shiftright("x", 8)).sortWithinPartitions("x")
+    names = ["x", "stop", "n0", "n1"]
+
+    def lengths(x, stop, n0, n1) -> pa.RecordBatch:
+        bits, total = x & 255, np.zeros(len(x))
+        decision = (np.log10(1 - stop), np.log10(stop))
+        for level in range(1, 8):
+            here = np.flatnonzero(bits >> level == 1)
+            up = np.searchsorted(x, (x[here] & ~255) | (bits[here] >> 1))
+            total[here] = total[up] + np.where(bits[here] & 1, decision[1][up], decision[0][up])
+        leaf = np.flatnonzero(bits >= 128)
+        parts = [(leaf[n[leaf] > 0], bit) for bit, n in ((0, n0), (1, n1))]
+        key = np.concatenate([(x[i] & ~255) | ((bits[i] << 1 | bit) & 255) for i, bit in parts])
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate([(n0, n1)[bit][i] for i, bit in parts])), pa.array(
+            np.concatenate([total[i] + decision[bit][i] for i, bit in parts]))], names=["key", "n", "lp"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            part = [batch.column(c).to_numpy() for c in names]
+            if rest is not None:
+                part = [np.concatenate(pair) for pair in zip(rest, part, strict=True)]
+            if not len(part[0]):
+                continue
+            cut = int(np.searchsorted(part[0], part[0][-1] & ~255))  # the last context may go on: 255 nodes at most
+            if cut:
+                yield lengths(*(c[:cut] for c in part))
+            rest = [c[cut:] for c in part]
+        if rest is not None:
+            yield lengths(*rest)
+
+    return rows.select(*names).mapInArrow(run, "key bigint, n bigint, lp double")
+
+
+def unseen_lengths(keys: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``key`` and ``lp`` of sequences that the training data lack: each decision ends at the deepest node there is."""
     rows = keys.select("key", F.explode(_decisions(F.col("key"), DEPTH)).alias("d")).select("key", "d.bit", F.col("d.x").alias("x5"))
-    if seen:
-        rows = rows.join(levels[DEPTH].withColumnRenamed("x", "x5"), "x5")
-    else:
-        for depth in range(DEPTH + 1):
-            node = F.col("x5").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
-            rows = rows.withColumn("x", node).join(levels[depth].withColumnRenamed("stop", f"s{depth}"), "x", "left").drop("x")
-        rows = rows.withColumn("stop", F.coalesce(*[F.col(f"s{d}") for d in range(DEPTH, -1, -1)], F.lit(0.5)))
+    for depth in range(DEPTH + 1):
+        node = F.col("x5").bitwiseAND(F.lit((1 << 8 * (depth + 1)) - 1))
+        rows = rows.withColumn("x", node).join(levels[depth].withColumnRenamed("stop", f"s{depth}"), "x", "left").drop("x")
+    rows = rows.withColumn("stop", F.coalesce(*[F.col(f"s{d}") for d in range(DEPTH, -1, -1)], F.lit(0.5)))
     return rows.groupBy("key").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("stop")).otherwise(1 - F.col("stop")))).alias("lp"))
 
 
@@ -197,18 +238,18 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.where(F.lit(False) if least is None else step >= least)
 
 
-def slots(keys: np.ndarray, table: int) -> np.ndarray:
-    shift = np.uint64(64 - SLOTS.bit_length() + 1)
-    return ((keys.view(np.uint64) * np.uint64(_MULTIPLIERS[table])) >> shift).astype(np.int64)
+def slots(keys: np.ndarray, table: int, size: int) -> np.ndarray:
+    """Places of keys in a table whose size is a power of two."""
+    return ((keys.view(np.uint64) * np.uint64(_MULTIPLIERS[table])) >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
 def fast_table(keys: np.ndarray, values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Two tables of fixed size; a key that finds both of its places taken is left to the join."""
+    """Two tables, twice and once as large as the keys; a key that finds both of its places taken is left to the join."""
     tables = []
     for t in range(2):
-        at = slots(keys, t)
-        place, first = np.unique(at, return_index=True)
-        k, v = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, np.float64)
+        size = 1 << max(1, (2 * len(keys)).bit_length() - t)
+        place, first = np.unique(slots(keys, t, size), return_index=True)
+        k, v = np.full(size, -1, np.int64), np.zeros(size, np.float64)
         k[place], v[place] = keys[first], values[first]
         tables.append((k, v))
         left = np.ones(len(keys), bool)
@@ -225,14 +266,14 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     source = docs.select(docs[key].alias("id"), docs[text].alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     learn = docs.where(train).select(docs[text].alias("text"))
-    counts = written(gram_counts(learn), "grams")
+    counts = gram_counts(learn)
     words = written(word_counts(learn), "words")
     ends = learn.count()
     sums = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, types = (sums[0] or 0) + ends, sums[1] + (ends > 0)
     base = math.log10(tokens + types + 1)
-    levels = tree(counts)
-    lengths = written(counts.join(code_lengths(counts, levels, seen=True), "key"), "lengths")
+    levels, lengths = tree(counts)
+    lengths = written(lengths, "lengths")
 
     found = most_frequent(lengths, FAST).select("key", "lp").toArrow()
     tables = fast_table(found.column("key").to_numpy(), found.column("lp").to_numpy())
@@ -248,10 +289,10 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
             at = 0
             for group in in_chunks(lowered(texts(batch.column("text")))):
                 grams_of, owner = grams(group)
-                place = slots(grams_of, 0)
+                place = slots(grams_of, 0, len(first[0]))
                 hit, value = first[0][place] == grams_of, first[1][place]
                 miss = np.flatnonzero(~hit)
-                place = slots(grams_of[miss], 1)
+                place = slots(grams_of[miss], 1, len(second[0]))
                 second_hit = second[0][place] == grams_of[miss]
                 value[miss] = np.where(second_hit, second[1][place], 0.0)
                 sums = np.bincount(owner, weights=value, minlength=len(group))
@@ -293,7 +334,7 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
 
     missed = part.select("uid", F.explode(F.arrays_zip("keys", "key_n")).alias("m")).select("uid", F.col("m.keys").alias("key"), F.col("m.key_n").alias("n"))
     need = missed.select("key").distinct()
-    new = code_lengths(need.join(lengths, "key", "left_anti"), levels, seen=False)
+    new = unseen_lengths(need.join(lengths, "key", "left_anti"), levels)
     known = lengths.join(need, "key", "left_semi").select("key", "lp")
     more = missed.join(known.union(new), "key").groupBy("uid").agg(F.sum(F.col("n") * F.col("lp")).alias("more"))
     rare = part.select("uid", F.explode(F.arrays_zip("words", "word_n")).alias("m")).select("uid", F.col("m.words").alias("word"), F.col("m.word_n").alias("k"))
