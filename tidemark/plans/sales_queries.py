@@ -256,6 +256,8 @@ def _(spark, folder):
         .select(F.lit(row.tableName).alias("table_name"), "n_rows")
         for row in listed.collect()
     ]
+    for name in _LISTED:  # the frames hold their plans
+        spark.catalog.dropTempView(name)
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -271,6 +273,7 @@ def _(spark, folder):
             "SELECT CAST(seller_id AS STRING) AS label, CAST(SUM(eventos) AS DOUBLE) AS value "
             "FROM gold_kpis GROUP BY 1",
     })
+    spark.catalog.dropTempView("gold_kpis")  # the frames hold their plans
     return reduce(DataFrame.unionByName, [
         df.select(F.lit(name).alias("query"), "label", "value") for name, df in results.items()
     ])
