@@ -61,10 +61,11 @@ def test_no_page_no_archive(spark, tmp_path):
     assert QUERIES["op5_warc"](spark, str(tmp_path)).count() == 0
 
 
-def test_codes_address_every_token():
+@pytest.mark.parametrize("widths", [(8, 8), (10, 3, 4), (16,)])
+def test_codes_address_every_token(widths):
     rng = np.random.default_rng(1)
     ids = (rng.integers(0, 50257, 5000) >> rng.integers(0, 16, 5000)).astype(np.uint32)
-    data = b"".join(dac.encode_file(ids, np.array([0, 10, 10, 5000]), [1, None, 3]))
+    data = b"".join(dac.encode_file(ids, np.array([0, 10, 10, 5000]), [1, None, 3], widths))
     import tempfile
     with tempfile.NamedTemporaryFile() as file:
         file.write(data)
@@ -79,7 +80,7 @@ def test_codes_address_every_token():
 
 
 def test_token_files(spark, monkeypatch):
-    monkeypatch.setattr(dac.WordIds, "LIMIT", 2000)  # the tables turn over all the time
+    monkeypatch.setattr(dac.WordIds, "LIMIT", 3)  # the tables turn over all the time
     files = written(dac.write_ids(documents(spark), scratch_path(spark, "dac-test"), JSON, 2), "files")
     got = sorted(tuple(r)[1:] for r in dac.read_ids(files).collect())
     library = Tokenizer.from_file(JSON)

@@ -31,8 +31,8 @@ from tidemark.llm.common import open_store, put_file, texts
 
 MAGIC = b"TDMKDAC1"
 BLOCK = 512
-#: Chunk widths in bits; their sum covers every id.
-WIDTHS = (10, 3, 4)
+#: Chunk widths in bits; their sum covers every id. Whole bytes need no shifting.
+WIDTHS = (8, 8)
 #: A file is closed at this many ids, a reader decodes about so many at once.
 FILE_IDS, READ_IDS = 8_000_000, 1_000_000
 #: Tasks of the reader at most; each reads one file after the other.
@@ -49,6 +49,8 @@ def pack(values: np.ndarray, width: int) -> bytes:
 
 def unpack(data: bytes, skip: int, count: int, width: int) -> np.ndarray:
     """``count`` numbers after ``skip`` bits."""
+    if width == 8 and not skip:
+        return np.frombuffer(data, np.uint8, count).astype(np.uint32)
     bits = np.unpackbits(np.frombuffer(data, np.uint8), count=skip + count * width, bitorder="little")[skip:]
     return bits.reshape(count, width).astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
 
@@ -135,15 +137,23 @@ class DacFile:
         return int(self.read(place, place + 1)[0])
 
 
+def _byte_letters() -> list[str]:
+    """The printable character by which byte-level vocabularies write each byte: itself, or the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class WordIds:
     """Token ids of texts from the tokenizers library, which gets every word once while the tables hold it.
 
     The public pattern always begins a piece at a space before another character, so a text is its first word and the
-    words with a space before them; a comma or full stop after letters is a piece of its own. Texts in which a space
-    comes before white space or the end go to the library whole. Two bounded tables: what is used moves to the younger.
+    words with a space before them. A word of letters is one piece and goes to the library's merges; a comma or full stop
+    after letters is a piece of its own; all other words, and texts in which a space comes before white space or the end,
+    go to the library whole. Two bounded tables: what is used moves to the younger.
     """
 
-    LIMIT = 50 << 20
+    LIMIT = 350_000
     ODD = re.compile(r" (?:\s|\Z)")
 
     def __init__(self, path: str):
@@ -152,35 +162,47 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(_byte_letters()))
+        self.space = self.letters[32]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.size = 0
         self.marks = {mark: self.whole(mark) for mark in ",."}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        if self.size > self.LIMIT:
-            self.young, self.old, self.size = {}, self.young, 0
-        marked = {w: w[:-1] for w in words if w[-1:] in self.marks and w[:-1].isalpha()}
-        bare = (words - marked.keys()) | {w for w in marked.values() if w not in self.young}
-        found = {w: self.old[w] for w in bare if w in self.old}
-        new = [w for w in bare if w not in found]
-        codes = self.tokenizer.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
-        found.update((w, np.array(code.ids, "<u4").tobytes()) for w, code in zip(new, codes, strict=True))
-        self.young.update(found)
-        self.young.update((w, self.young[b] + self.marks[w[-1]]) for w, b in marked.items())
-        self.size += sum(150 + len(w) + len(self.young[w]) for w in words)
+    def piece(self, word: str) -> bytes:
+        """A space and letters."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        found = [token.id for token in self.merges(self.space + word)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def word(self, word: str) -> bytes:
+        """Ids of a space and a word."""
+        found = self.old.get(word)
+        if found is None:
+            if word.isalpha():
+                found = self.piece(word)
+            elif word[-1:] in self.marks and word[:-1].isalpha():
+                bare = word[:-1]
+                found = (self.young.get(bare) or self.old.get(bare) or self.piece(bare)) + self.marks[word[-1]]
+            else:
+                found = self.whole(" " + word)
+        return found
 
     def ids(self, text: str, end: int) -> np.ndarray:
-        first, *words = text.split(" ")
         if self.ODD.search(text):
             found = self.whole(text)
         else:
-            if missing := set(words).difference(self.young):
-                self.learn(missing | set(words) if self.size > self.LIMIT else missing)
-            found = (self.whole(first) if first else b"") + b"".join(map(self.young.__getitem__, words))
+            first, *words = text.split(" ")
+            if len(self.young) > self.LIMIT:
+                self.young, self.old = {}, self.young
+            young = self.young
+            for word in set(words).difference(young):
+                young[word] = self.word(word)
+            found = (self.whole(first) if first else b"") + b"".join(map(young.__getitem__, words))
         return np.frombuffer(found + struct.pack("<I", end), "<u4")
 
 
