@@ -26,7 +26,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return decontaminate.clean(docs, table(spark, folder, "benchmark"))
+    return decontaminate.clean(docs, table(spark, folder, "benchmark"), parts=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -157,6 +157,25 @@ def test_items_are_found(spark):
     assert decontaminate.contaminated(documents(spark, docs), items_of(spark, [])).count() == 0
 
 
+def test_parts_of_items_are_found(spark):
+    """60 of 130 words, a run of 13 in a longer item, a copy without its last line, half of a chunk with changed words, short items."""
+    rng = random.Random(12)
+    long = [w for w in TESTS[5][1].split()]
+    plain = [f"q{i}" for i in range(40)]
+    items = [*TESTS, (8, " ".join(plain) + "\n" + " ".join(f"last{i}" for i in range(9))), (9, "what is it?\nblue it is"), (10, "a b c d\ne f g")]
+    changed = [f"z{i}" if i % 10 == 9 else w for i, w in enumerate(plain)]
+    docs = [(57, " ".join(long[:60]) + pad(3)), (58, f"{pad(1)} {' '.join(long[70:83])} {pad(2)}"), (59, f"{pad(1)} {' '.join(long[70:82])} {pad(2)}"),
+            (60, f"{pad(4)} {' '.join(plain)} {pad(5)}"), (61, f"{pad(6)} {' '.join(changed)} {pad(7)}"), (62, f"{pad(8)} Too short! {pad(9)}"),
+            (63, f"{pad(8)} too very short {pad(9)}"), (64, pad(rng.randrange(100))), (65, "too shorter"), (66, " ".join(plain[:9]))]
+    found = decontaminate.contaminated(documents(spark, docs), items_of(spark, items), parts=True).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(57, 6), (58, 6), (60, 8), (61, 8), (62, 5)]
+    assert all(0 < r["bm25_share"] <= 1 + 1e-9 for r in found)
+    clean = decontaminate.clean(documents(spark, docs), items_of(spark, items), parts=True)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [59, 63, 64, 65, 66]
+    assert [r["item_id"] for r in decontaminate.contaminated(documents(spark, docs), items_of(spark, [(5, "too short")]), parts=True).collect()] == [5]
+    assert decontaminate.contaminated(documents(spark, docs), items_of(spark, []), parts=True).count() == 0
+
+
 def test_slices_give_the_same(spark, small, monkeypatch):
     read = lambda name: spark.read.parquet(f"{small}/{name}.parquet")
     once = sorted(map(tuple, decontaminate.contaminated(read("documents"), read("benchmark")).collect()))

@@ -86,7 +86,7 @@ def context_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), parts=True)
 
 
 @query("op2_license_scan")
