@@ -94,6 +94,21 @@ def test_token_files(spark, monkeypatch):
     assert dac.read_ids(empty).count() == 0
 
 
+def test_added_tokens_are_the_librarys(spark):
+    """Texts that hold an added token: ids as the library gives them as loaded, and the starts after them."""
+    library = Tokenizer.from_file(JSON)
+    mark = library.get_added_tokens_decoder()[50256].content
+    rows = [(1, f"one {mark} two"), (2, mark), (3, f"a{mark}{mark}b c"), (4, f"x {mark[:-1]} {mark} "), (5, "after all of them")]
+    files = written(dac.write_ids(documents(spark, rows), scratch_path(spark, "dac-test"), JSON, 2), "files")
+    want, start = [], 0
+    for key, text in rows:
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        want.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in dac.read_ids(files).collect()) == want
+    assert dac.WordIds(JSON).ids(rows[0][1], 2).tolist() == [505, 220, 50256, 734, 2]
+
+
 def test_words_equal_whole_texts():
     words, rng = dac.WordIds(JSON), random.Random(3)
     for _ in range(300):

@@ -150,7 +150,8 @@ class WordIds:
     The public pattern always begins a piece at a space before another character, so a text is its first word and the
     words with a space before them. A word of letters is one piece and goes to the library's merges; a comma or full stop
     after letters is a piece of its own; all other words, and texts in which a space comes before white space or the end,
-    go to the library whole. Two bounded tables: what is used moves to the younger.
+    go to the library whole, as do texts that hold the content of an added token, which the library finds before it cuts
+    pieces. Two bounded tables: what is used moves to the younger.
     """
 
     LIMIT = 350_000
@@ -161,7 +162,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values() if token.content]
+        self.added = re.compile("|".join(added) if added else r"(?!)")
         self.merges = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(_byte_letters()))
         self.space = self.letters[32]
@@ -193,7 +195,7 @@ class WordIds:
         return found
 
     def ids(self, text: str, end: int) -> np.ndarray:
-        if self.ODD.search(text):
+        if self.ODD.search(text) or self.added.search(text):
             found = self.whole(text)
         else:
             first, *words = text.split(" ")
