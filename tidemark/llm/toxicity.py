@@ -1,4 +1,7 @@
-"""Toxicity by class-conditional Kneser-Ney models.
+"""Toxicity by class-conditional word scores with discounted backoff to word stems. This is not a Kneser-Ney model.
+
+There are no n-gram contexts and no continuation counts, the order of words does not count, and the evidence for the ordinary
+class is cut off at 0. Toxic expressions made of ordinary words are not seen.
 
 Each class has a model of words: an absolute discount is taken from every count and given to a lower order, the class's
 model of word stems (the first ``STEM`` letters), and that one's discount to counts shared by both classes:
