@@ -5,7 +5,7 @@ encodes each and joins them; a leaf of ``LEAF`` bytes is merged directly. ``join
 seam anew and lets it grow until the tokens outside stand. The proof: a token sequence is the encoding of its bytes
 exactly if every two neighbours are the encoding of their own concatenation. Inside each half that holds already,
 inside the window by construction, so only the window's two edges are tested. The join is associative with the empty
-sequence as its unit. Decoding concatenates token bytes up the tree. Every piece of the public pattern is encoded apart.
+sequence as its unit. Decoding is one flat join of the tokens' bytes, no tree. Every piece of the public pattern is encoded apart.
 
 Defined cases: a null text is the empty text with no tokens; equal rows give equal results; an empty table gives an
 empty table; columns other than the key and the text are ignored. A cache of pieces is bounded and holds no state
