@@ -185,6 +185,20 @@ def test_slices_give_the_same(spark, small, monkeypatch):
     assert sorted(map(tuple, decontaminate.contaminated(read("documents"), read("benchmark")).collect())) == once
 
 
+def test_slices_are_bounded_by_chunks(spark, monkeypatch):
+    """Few long items: no slice gets all their chunks, and what is found stays."""
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(480))) for i in range(12)]
+    docs = [(i, f"{pad(i)} {t} {pad(i + 20)}") for i, t in items]
+    made, build = [], decontaminate.build
+    monkeypatch.setattr(decontaminate, "SLICE", 24)
+    monkeypatch.setattr(decontaminate, "build", lambda *a: made.append(build(*a)) or made[-1])
+    for parts in (False, True):
+        made.clear()
+        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), items_of(spark, items), parts=parts).collect()}
+        assert got == {(i, i) for i, _ in items}
+        assert len(made) == 5 and max(len(index.owner) for index in made) < 120 and sum(len(index.owner) for index in made) == 120
+
+
 def test_wand_retrieves_all_above_the_threshold():
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + rng.choice("xyz") for _ in range(rng.randint(5, 60)))) for i in range(60)]

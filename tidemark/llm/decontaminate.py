@@ -14,8 +14,9 @@ find every run of ``RUN`` words of an item and every stretch of ``2 * CHUNK`` wo
 n-grams, whatever their BM25 score; shorter items count where all their words stand in a row. A last line is then an answer
 only below a question mark or behind a mark of its own (``ANSWER``), and no copy is let off because its answer is missing.
 
-The items are a stated query set. Their statistics come from all items; the index is cut into slices of at most
-``SLICE`` items, which is what bounds the memory of a task, and the texts are read once for each slice.
+The items are a stated query set. Their statistics come from all items; the index is cut into slices of about ``SLICE``
+items or chunks, whichever makes more slices, and the texts are read once for each slice. Each slice's index is built on
+the driver, and an item is not cut, so an item of very many chunks makes a slice of its size.
 
 Defined cases: a null or empty text has no passage; an item without words is never reported, one with fewer than ``NGRAM``
 words only with ``parts`` (share 1), as n-grams cannot verify it; equal items are all reported; rows are searched one by one, null or repeated keys like others; an
@@ -318,16 +319,20 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
             yield pa.RecordBatch.from_pydict({
                 "word": pa.array(["", *seen], pa.string()), "chunks": pa.array([count, *seen.values()], pa.int64()), "size": pa.array([size] + [0] * len(seen), pa.int64())})
 
+    def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"word": pa.array(list({w for value in texts(batch.column("text")) for w in words_of(value)}), pa.string())})
+
     counts = tests.select("text").mapInArrow(statistics, "word string, chunks bigint, size bigint").groupBy("word").agg(
         F.sum("chunks").alias("chunks"), F.sum("size").alias("size")).persist()
     whole = counts.where("word = ''").first()
-    slices = max(1, -(-tests.count() // SLICE))
     out = spark.createDataFrame([], f"key {kind}, item bigint, score double, question double, answer double")
     total, size = (whole["chunks"] or 0, whole["size"] or 0) if whole else (0, 0)
+    slices = max(1, -(-max(tests.count(), total) // SLICE))
     for number in range(slices if total or parts else 0):
-        rows = [(r["item"], r["text"]) for r in tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == number).collect()]
-        own = {w for _, t in rows for w in words_of(t)}
-        known = counts.where(F.col("word").isin(list(own))) if slices > 1 else counts
+        part = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == number)
+        rows = [(r["item"], r["text"]) for r in part.collect()]
+        known = counts.join(part.select("text").mapInArrow(vocabulary, "word string").distinct(), "word", "left_semi") if slices > 1 else counts
         index = spark.sparkContext.broadcast(build(rows, total, size / max(total, 1), {r["word"]: r["chunks"] for r in known.collect()}, parts))
 
         def run(batches: Iterator[pa.RecordBatch], held=index) -> Iterator[pa.RecordBatch]:
