@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ctw, dac, decontaminate, jaccard, licences, quality, sharding, toxicity, warc
+from tidemark.llm import align, bpe, ctw, dac, decontaminate, exact, jaccard, licences, phrases, quality, sharding, toxicity, warc
 from tidemark.llm.common import crc_bucket, table, written
 from tidemark.session import scratch_path
 
@@ -92,3 +92,23 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_license_scan")
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"))
+
+
+@query("op11_exact_dedup", exact.ORACLE)
+def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = exact.exact_duplicates(table(spark, folder, "documents"), scratch_path(spark, "exact"))
+    return rows.select(
+        F.col("key").alias("doc_id"), F.col("keep").alias("keep_id"), F.col("copies").alias("group_size"), "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op12_collocations", phrases.ORACLE)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query("op13_cross_tokenizer")
+def cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    return align.cross_alignment(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
