@@ -17,6 +17,7 @@ from tidemark.operators.lookup import target_vs_actual, with_targets
 from tidemark.plans.bronze import bronze_frame_style, bronze_sql_style, gmv_by_channel, gold_kpis
 from tidemark.session import scratch_path
 from tidemark.sources import readers, sinks
+from tidemark.streaming import tables
 
 WATERMARK_EVENTS = [
     (1, "alice", 5.0, 0), (2, "bob", 3.0, 4), (3, "alice", 7.0, 12), (4, "alice", 2.0, 8),
@@ -225,7 +226,23 @@ def test_catalog(spark):
         == {("k", "int"), ("v", "string")}
     last = sinks.run_script(spark, ["DROP TABLE rebuilt", "SELECT ';' AS semicolon"])[-1]
     assert last.first().semicolon == ";"
-    orders = spark.createDataFrame([(1, datetime(2025, 1, 2))], "id int, event_time timestamp_ntz")
-    sinks.append_orders(orders, f"{path}-orders")
-    sinks.append_orders(orders, f"{path}-orders")
-    assert spark.read.parquet(f"{path}-orders").count() == 2
+
+
+def test_raw_orders_once(spark):
+    """A batch that is delivered twice is there once; readers prune by day; compaction keeps the rows."""
+    path = scratch_path(spark, "test-orders")
+    schema = "id int, event_time timestamp_ntz"
+    loads = [[(1, datetime(2025, 1, 2)), (2, datetime(2025, 1, 3)), (3, None)], [(4, datetime(2025, 1, 2))], []]
+    for number, load in enumerate(loads):
+        for _ in range(2):
+            tables.append_orders(spark.createDataFrame(load, schema), path, number)
+    frame = spark.createDataFrame([], schema)
+    read = tables.read_orders(spark, path, frame.schema)
+    assert sorted((r["id"], r["batch_id"]) for r in read.collect()) == [(1, 0), (2, 0), (3, 0), (4, 1)]
+    day = read.filter("order_date = DATE '2025-01-02'")
+    assert sorted(r["id"] for r in day.collect()) == [1, 4]
+    assert all("order_date=2025-01-02" in f for f in (r[0] for r in day.select(F.input_file_name()).collect()))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan
+    tables.compact_orders(spark, path, f"{path}-whole", frame.schema)
+    assert spark.read.parquet(f"{path}-whole").count() == 4

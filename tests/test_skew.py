@@ -2,14 +2,15 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.arrival import close_lags, running_watermark, strict_windows
-from tidemark.operators.dedup import dedup_ttl, first_arrivals
+from tidemark.operators.dedup import PAGE_MS, _block_map, _chain, _walk, dedup_ttl, first_arrivals
 from tidemark.operators.delays import delay_report, duplicate_counts, percentile_low
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.prefix import BUCKET, with_order_buckets
+from tidemark.operators.prefix import BUCKET, bucket_count, with_order_buckets
 from tidemark.operators.windows import agg_changelog
 
 EVENT = "event_id long, arr long, ms long, symbol string, price double, qty long"
@@ -95,13 +96,53 @@ def keep_by_ttl(rows, ttl):
     return kept
 
 
-@pytest.mark.parametrize("ttl", [0, 1_000, 17_000, 600_000])
-@pytest.mark.parametrize("seed", [0, 20])
-def test_dedup_ttl(spark, ttl, seed):
-    rows = arrivals_of_ids(ttl + seed)
+@pytest.mark.parametrize("ttl,few,block_pages", [(0, 256, 64), (1_000, 0, 1), (17_000, 5, 2), (90_000, 0, 1), (600_000, 40, 3)])
+def test_dedup_ttl(spark, ttl, few, block_pages):
+    rows = arrivals_of_ids(ttl)
     df = spark.createDataFrame(rows, "event_id long, arr long, seq long").repartition(6)
-    got = dedup_ttl(df, ttl, order=("arr", "seq"))
-    assert {tuple(r) for r in got.collect()} == keep_by_ttl(rows, ttl)
+    got = dedup_ttl(df, ttl, order=("arr", "seq"), few=few, block_pages=block_pages).collect()
+    assert {tuple(r) for r in got} == keep_by_ttl(rows, ttl) and len(got) == len({tuple(r) for r in got})
+
+
+def test_an_id_that_never_pauses_is_many_blocks(spark):
+    """A billion milliseconds of one id: every block is a row of its own on the way, and no task holds two thirds of them."""
+    rows = [("hot", at * 1_000 + at % 7) for at in range(1_000_000)]
+    df = spark.range(1_000_000).selectExpr("'hot' AS event_id", "id * 1000 + id % 7 AS arr")
+    times = _chain(df.selectExpr("event_id", "arr AS at"), "event_id", 600_000)
+    want, last = [], None
+    for _, at in rows:
+        if last is None or at - last > 600_000:
+            want.append(at)
+            last = at
+    assert sorted(r["at"] for r in times.collect()) == want
+    spread = df.selectExpr("event_id", f"arr - arr % {64 * PAGE_MS} AS block").distinct().repartition(8, "event_id", "block")
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 3
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_block_map(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        at = np.array(sorted({1_000 + rng.randrange(rng.choice([50, 500, 5_000])) for _ in range(rng.randrange(1, 80))}))
+        ttl = rng.choice([0, 1, 7, 60, 900])
+        ends, steps = _block_map(at, 1_000 + ttl, ttl)
+        for before in [None, *(999 - rng.randrange(ttl + 50) for _ in range(6))]:
+            kept, last = [], before
+            for a in at.tolist():
+                if last is None or a - last > ttl:
+                    kept.append(a)
+                    last = a
+            assert _walk(at, before, ttl) == kept
+            step = 0 if before is None else int(np.searchsorted(ends, before + ttl, side="right"))
+            assert (int(steps[step]) if step < len(ends) else before) == last
+
+
+def test_buckets_of_a_joined_input(spark, small):
+    """Spark multiplies the sizes of joined tables; the rows do not."""
+    events = spark.read.parquet(f"{small}/events.parquet")
+    joined = events.crossJoin(spark.range(1)).join(events.select("event_id", F.col("value").alias("v")), "event_id")
+    assert bucket_count(joined) <= 2 * max(4, bucket_count(events))
 
 
 def test_dedup_ttl_of_text_ids(spark):

@@ -6,9 +6,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.session import scratch_path
 
@@ -17,6 +18,10 @@ ORDER = ("arr", "event_id")
 FLUSH = 50_000
 # Fixed value: one page is a 4 KiB bitmap, one bit per millisecond.
 PAGE_MS = 32_768
+# Pages of one block; the blocks of an id are worked in parallel.
+BLOCK_PAGES = 64
+# Rows up to which an id's arrivals are worked as one array.
+FEW = 256
 
 
 def first_arrivals(df: DataFrame, key: str = "event_id", order: Sequence[str] = ORDER) -> DataFrame:
@@ -29,27 +34,35 @@ def dedup_ttl(
     ttl_ms: int = 600_000,
     key: str = "event_id",
     order: Sequence[str] = ORDER,
+    few: int = FEW,
+    block_pages: int = BLOCK_PAGES,
 ) -> DataFrame:
     """Keep an arrival unless a kept arrival of its id lies within the TTL before it.
 
     ``order`` is the arrival time in ms, then tie-breaks. The time limit counts
     from the kept arrival and is not renewed by copies, so the rule is a chain per
-    id. Rows without id are left out (``clean.rejected`` returns them). ``df`` is
-    read twice: one aggregate per id finds its first row and its span, and ids whose
-    arrivals all lie within one TTL are done; the rows of the others are written
-    once, and :func:`_chain` works on these.
+    id. Rows without id are left out (``clean.rejected`` returns them). One aggregate
+    per id finds its first row, its span and its number of rows, and settles the ids
+    whose arrivals all lie within one TTL. Ids of up to ``few`` rows are one array
+    each; the others go through :func:`_chain`, whatever their number of rows.
     """
     arrival = order[0]
     df = df.filter(F.col(key).isNotNull())
-    per_id = _written(_first(df, [key], order, extra=F.max(arrival).alias("__hi")), "first-arrivals")
-    within = F.col("__hi") - F.col(arrival) <= ttl_ms
-    far = _written(df.join(per_id.filter(~within).select(key), key, "left_semi"), "long-ids")
-    kept = _chain(far.select(key, F.col(arrival).alias("at")), key, ttl_ms)
+    per_id = _written(_first(df, [key], order, {
+        "__hi": F.max(arrival), "__lo": F.min(arrival), "__n": F.count("*")}), "first-arrivals")
+    far = F.col("__hi") - F.col("__lo") > ttl_ms
+    small = df.join(per_id.filter(far & (F.col("__n") <= few)).select(key), key, "left_semi")
+    kept = per_id.filter(~far).select(*df.columns).unionByName(_few(small, ttl_ms, key, order).select(*df.columns))
+    large = per_id.filter(far & (F.col("__n") > few)).select(key)
+    if large.isEmpty():
+        return kept
+    rows = _written(df.join(large, key, "left_semi"), "long-ids")
+    times = _chain(rows.select(key, F.col(arrival).alias("at")), key, ttl_ms, block_pages)
     # Equal (id, arrival) rows are combined before the join, so it has no hot key.
-    chosen = _first(far, [key, arrival], order).join(
-        kept.withColumnRenamed("at", arrival), [key, arrival], "left_semi"
+    chosen = _first(rows, [key, arrival], order).join(
+        times.withColumnRenamed("at", arrival), [key, arrival], "left_semi"
     )
-    return per_id.filter(within).select(*df.columns).unionByName(chosen.select(*df.columns))
+    return kept.unionByName(chosen.select(*df.columns))
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -58,61 +71,159 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str], extra=None) -> DataFrame:
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str], extra: dict | None = None) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     by = [c for c in order if c not in keys] or list(order)
     aggs = [F.min_by(F.struct(*rest), F.struct(*by)).alias("row")] if rest else []
-    aggs += [extra] if extra is not None else []
+    aggs += [value.alias(name) for name, value in (extra or {}).items()]
     if not aggs:
         return df.select(*keys).distinct()
     picked = df.groupBy(*keys).agg(*aggs)
-    return picked.select(*keys, *(["row.*"] if rest else []), *(["__hi"] if extra is not None else []))
+    return picked.select(*keys, *(["row.*"] if rest else []), *(extra or {}))
 
 
-def _chain(arrivals: DataFrame, key: str, ttl_ms: int) -> DataFrame:
-    """Kept arrival times of ids whose arrivals span more than one TTL.
+def _few(df: DataFrame, ttl_ms: int, key: str, order: Sequence[str]) -> DataFrame:
+    """The kept rows of ids that have a bounded number of rows: a fold over each id's sorted array."""
+    rest = [c for c in df.columns if c not in (key, *order)]
+    pair = F.struct(F.struct(*order).alias("by"), F.struct(F.lit(0).alias("__one"), *rest).alias("row"))
+    listed = df.groupBy(key).agg(F.array_sort(F.collect_list(pair), _by_order).alias("rows"))
+    arrival = f"by.{order[0]}"
+    empty = F.slice("rows", 1, 0)
+
+    def step(kept, row):
+        last = F.element_at(kept, -1)
+        return F.when((F.size(kept) == 0) | (_field(row, arrival) - _field(last, arrival) > ttl_ms), F.concat(kept, F.array(row))).otherwise(kept)
+
+    first = F.slice("rows", 1, 1)
+    folded = listed.select(key, F.explode(F.aggregate(F.slice("rows", 2, 1 << 30), F.concat(empty, first), step)).alias("one"))
+    return folded.select(key, *[F.col(f"one.by.{c}").alias(c) for c in order if c != key], *[F.col(f"one.row.{c}").alias(c) for c in rest])
+
+
+def _by_order(left, right):
+    a, b = left.getField("by"), right.getField("by")
+    return F.when(a < b, -1).when(a > b, 1).otherwise(0)
+
+
+def _field(row, path: str):
+    for name in path.split("."):
+        row = row.getField(name)
+    return row
+
+
+def _chain(arrivals: DataFrame, key: str, ttl_ms: int, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Kept arrival times of ids whose arrivals span more than one TTL, an id of any length over many tasks.
 
     1. Copies at one millisecond cannot both be kept, so they are combined before
-       the shuffle: an id's arrivals become one bitmap per 32.8 s.
-    2. A gap longer than the TTL restarts the chain. Gaps between pages are found on
-       one row per id and page, and cut an id's pages into independent runs.
-    3. A run is streamed page by page. Its size depends on the time it spans (about
-       10 MB a day) and not on its number of rows.
+       the shuffle: an id's arrivals become one bitmap per 32.8 s, a page.
+    2. Pages form blocks of half an hour. What a block does to the chain is a map
+       that never falls: the time kept last before it gives the time kept last in it.
+       All blocks work out their maps in parallel (pointer doubling over the arrivals).
+    3. One pass per id applies the maps in order; it sees a block's map, not its rows.
+       A map has one step for each outcome, and none beyond one TTL after the block's start.
+    4. Each block starts from the time that the pass found for it, again in parallel.
     """
     bit = F.pmod(F.col("at"), F.lit(PAGE_MS))
-    pages = arrivals.groupBy(key, (F.col("at") - bit).alias("page")).agg(
-        F.bitmap_construct_agg(bit).alias("bits"), F.min("at").alias("lo"), F.max("at").alias("hi")
-    )
-    per_id = Window.partitionBy(key).orderBy("page")
-    gap = F.col("lo") - F.lag("hi").over(per_id)
-    runs = pages.withColumn("start", F.when(F.coalesce(gap > ttl_ms, F.lit(True)), F.col("lo"))).withColumn(
-        "run", F.max("start").over(per_id.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    ordered = runs.select(key, "run", "page", "bits").repartition(key, "run").sortWithinPartitions(key, "run", "page")
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, last, ids, times = None, None, [], []
+    page = F.col("at") - bit
+    span = PAGE_MS * block_pages
+    pages = arrivals.groupBy(key, page.alias("page")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    pages = _written(pages.withColumn("block", F.col("page") - F.pmod(F.col("page"), F.lit(span))), "chain-pages")
+    kind = pages.schema[key]
+
+    def by_block(df: DataFrame) -> DataFrame:
+        return df.repartition(key, "block").sortWithinPartitions(key, "block", "page")
+
+    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds_out = [key, "block", "ends", "steps"], [kinds, pa.int64(), pa.binary(), pa.binary()]
+        rows, size = [], 0
+        for ident, block, at, _ in _blocks(batches, key):
+            ends, steps = _block_map(at, block + ttl_ms, ttl_ms)
+            rows.append((ident, block, ends.tobytes(), steps.tobytes()))
+            size += 16 * len(ends) + 64
+            if size > 8 << 20:
+                yield _batch(rows, names, kinds_out)
+                rows, size = [], 0
+        if rows:
+            yield _batch(rows, names, kinds_out)
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last = None, None
         for batch in batches:
-            keys, places = batch.column(key), batch.column("page").to_numpy()
-            starts = batch.column("run").to_numpy()
-            for row, bits in enumerate(batch.column("bits")):
-                mine = (keys[row].as_py(), starts[row])
-                if mine != current:
-                    current, last = mine, None
-                at = places[row] + np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), bitorder="little"))
-                kept = []
-                i = 0 if last is None else np.searchsorted(at, last + ttl_ms, side="right")
-                while i < len(at):
-                    last = int(at[i])
-                    kept.append(last)
-                    i = np.searchsorted(at, last + ttl_ms, side="right")
-                times += kept
-                ids += [mine[0]] * len(kept)
-                if len(times) > FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, keys.type), pa.array(times, pa.int64())], names=[key, "at"])
-                    ids, times = [], []
-            if times:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, keys.type), pa.array(times, pa.int64())], names=[key, "at"])
-                ids, times = [], []
-
-    return ordered.mapInArrow(walk, T.StructType([ordered.schema[key], T.StructField("at", T.LongType())]))
+            before = []
+            for row, ident in enumerate(batch.column(key).to_pylist()):
+                if ident != current:
+                    current, last = ident, None
+                before.append(last)
+                ends = np.frombuffer(batch.column("ends")[row].as_buffer(), np.int64)
+                step = 0 if last is None else int(np.searchsorted(ends, last + ttl_ms, side="right"))
+                if step < len(ends):
+                    last = int(np.frombuffer(batch.column("steps")[row].as_buffer(), np.int64)[step])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), batch.column("block"), pa.array(before, pa.int64())], names=[key, "block", "before"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for ident, _, at, before in _blocks(batches, key):
+            rows += [(ident, time) for time in _walk(at, before, ttl_ms)]
+            if len(rows) > FLUSH:
+                yield _batch(rows, [key, "at"], [kinds, pa.int64()])
+                rows = []
+        if rows:
+            yield _batch(rows, [key, "at"], [kinds, pa.int64()])
+
+    kinds, long = to_arrow_type(kind.dataType), T.LongType()
+    place = [kind, T.StructField("block", long)]
+    mapped = by_block(pages).mapInArrow(maps, T.StructType([*place, T.StructField("ends", T.BinaryType()), T.StructField("steps", T.BinaryType())]))
+    carried = mapped.repartition(key).sortWithinPartitions(key, "block").mapInArrow(
+        carry, T.StructType([*place, T.StructField("before", long)]))
+    entered = by_block(pages.join(carried, [key, "block"]))
+    return entered.mapInArrow(fill, T.StructType([kind, T.StructField("at", long)]))
+
+
+def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple]:
+    """(id, block, arrivals in order, ``before`` of the block where there is one) of rows sorted by id, block, page."""
+    current, held = None, []
+    for batch in batches:
+        ids, blocks = batch.column(key).to_pylist(), batch.column("block").to_numpy()
+        pages = batch.column("page").to_numpy()
+        before = batch.column("before").to_pylist() if "before" in batch.schema.names else [None] * len(ids)
+        for row, bits in enumerate(batch.column("bits")):
+            place = (ids[row], int(blocks[row]), before[row])
+            if place[:2] != (current and current[:2]):
+                if held:
+                    yield (*current[:2], np.concatenate(held), current[2])
+                current, held = place, []
+            held.append(pages[row] + np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), bitorder="little")))
+    if held:
+        yield (*current[:2], np.concatenate(held), current[2])
+
+
+def _block_map(at: np.ndarray, reach: int, ttl_ms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds and outcomes: whoever may keep nothing up to ``r`` ends at the outcome of the first bound above ``r``.
+
+    No ``r`` reaches further than ``reach``, so arrivals well beyond it begin no chain.
+    """
+    follow = np.searchsorted(at, at + ttl_ms, side="right")
+    last = np.where(follow < len(at), follow, np.arange(len(at)))
+    while True:  # doubling: a pointer that has come to its chain's last arrival stays there
+        further = last[last]
+        if (further == last).all():
+            break
+        last = further
+    starts = int(np.searchsorted(at, reach, side="right")) + 1
+    ends, steps = at[:starts], at[last[:starts]]
+    change = np.append(steps[1:] != steps[:-1], True)
+    return ends[change], steps[change]
+
+
+def _walk(at: np.ndarray, before: int | None, ttl_ms: int) -> list[int]:
+    """The arrivals kept in a block that is entered with ``before`` as the last one kept."""
+    kept: list[int] = []
+    i = 0 if before is None else int(np.searchsorted(at, before + ttl_ms, side="right"))
+    while i < len(at):
+        kept.append(int(at[i]))
+        i = int(np.searchsorted(at, kept[-1] + ttl_ms, side="right"))
+    return kept

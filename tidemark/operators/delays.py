@@ -118,6 +118,15 @@ def delay_report(
     )
 
 
+def report_of_counts(counts: DataFrame, interval_ms: int, edges: Sequence[int] = DELAY_EDGES_MS) -> DataFrame:
+    """The report from its counters: ``cnt`` records per ``interval_ms`` and delay ``v``, and ``firsts``, the first arrivals."""
+    basic = counts.groupBy("interval_ms").agg(
+        F.sum("cnt").alias("messages"), (F.sum("cnt") - F.sum("firsts")).alias("dups"), *histogram_columns("v", edges, "cnt"))
+    some = counts.filter(F.col("v").isNotNull())
+    return basic.withColumn("rate", F.col("messages") / F.lit(interval_ms / 1000)).join(
+        percentile_of_counts(some.select("interval_ms", "v", "cnt"), ["interval_ms"], [50, 95]), "interval_ms", "left")
+
+
 def _interval(interval_ms: int) -> Column:
     return window_start_ms(F.col("arr"), interval_ms).alias("interval_ms")
 

@@ -19,18 +19,19 @@ from tidemark.session import scratch_path
 BUCKET = "__bucket"
 # Bytes of input, by Spark's own estimate, that make one bucket.
 BUCKET_BYTES = 64 << 20
-# Rows that make one bucket, and the size from which an estimate is none (a pebibyte).
-BUCKET_ROWS, NO_ESTIMATE = 1_000_000, 1 << 50
+# Rows that fill one bucket, where rows are counted.
+BUCKET_ROWS = 250_000
 
 
 def bucket_count(df: DataFrame) -> int:
     """Buckets follow the size of the input; small inputs use the session's parallelism.
 
-    Where Spark has no estimate, as for rows that come from Python, the rows are counted.
+    Spark's estimate is a bound that a join multiplies and that rows from Python do not have, so an estimate that asks
+    for more than the parallelism is checked by a count of the rows.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = -(-size // BUCKET_BYTES) if size < NO_ESTIMATE else -(-df.count() // BUCKET_ROWS)
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // BUCKET_BYTES)
+    return max(least, min(wanted, -(-df.count() // BUCKET_ROWS))) if wanted > least else least
 
 
 def with_order_buckets(

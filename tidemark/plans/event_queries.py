@@ -374,20 +374,32 @@ def _(spark, folder):
 
 
 CHAIN_TTL = 6 * HOUR
+RUN_TTL = 3 * HOUR
 
 
-@query("dedup_chain", f"""WITH RECURSIVE {S.strip()},
+def chain(key: str, ttl_ms: int) -> str:
+    """``k``: the kept arrivals of each id, one after another; for any number of arrivals."""
+    return f"""RECURSIVE {S.strip()},
 k AS (
-  SELECT user_id, MIN(arr) AS arr FROM s GROUP BY user_id
+  SELECT {key}, MIN(arr) AS arr FROM s GROUP BY {key}
   UNION ALL
-  SELECT k.user_id, MIN(s.arr) FROM k JOIN s ON s.user_id = k.user_id AND s.arr > k.arr + {CHAIN_TTL} GROUP BY k.user_id)
-SELECT user_id, arr FROM k""")
+  SELECT k.{key}, MIN(s.arr) FROM k JOIN s ON s.{key} = k.{key} AND s.arr > k.arr + {ttl_ms} GROUP BY k.{key})"""
+
+
+@query("dedup_chain", f"WITH {chain('user_id', CHAIN_TTL)} SELECT user_id, arr FROM k")
 def _(spark, folder):
     """Many arrivals per id: at most one record of a user in six hours, counted from the kept one."""
     rows = arrivals(spark, folder).select("user_id", "arr", "event_id")
     return dedup_ttl(rows, CHAIN_TTL, key="user_id").select("user_id", "arr")
 
 
+@query("dedup_long_run", f"WITH {chain('symbol', RUN_TTL)} SELECT symbol, arr FROM k")
+def _(spark, folder):
+    """Ids that never pause: a symbol has a record every few minutes over the whole stream."""
+    rows = arrivals(spark, folder).select("symbol", "arr", "event_id")
+    return dedup_ttl(rows, RUN_TTL, key="symbol").select("symbol", "arr")
+
+
 def _loads(spark, folder):
     rows = arrivals(spark, folder)
     return rows.filter(F.col("arr") < CUT_MS), rows.filter(F.col("arr") >= CUT_MS)

@@ -17,6 +17,8 @@ from tidemark.sources.readers import table
 
 # Status of an order line.
 STATUS = {"N": "PAID", "A": "CANCELLED", "R": "RETURNED"}
+# Fixed value: the channel that stands for physical stores.
+STORE_CHANNEL = "1-URGENT"
 # Added likelihoods of cancellation and return.
 CANCEL_BASE, CANCEL_DEEP = 0.04, 0.05
 RETURN_BASE, RETURN_CATEGORY = 0.05, 0.03
@@ -75,6 +77,13 @@ def with_channel(lines: DataFrame, spark: SparkSession, folder: str) -> DataFram
     return lines.join(orders, "order_id")
 
 
+def without_store_shipping(lines: DataFrame, channel: str = STORE_CHANNEL) -> DataFrame:
+    """Lines with their channel: a physical store charges no shipping, which lowers its net revenue."""
+    in_store = F.col("channel") == channel
+    return lines.withColumn("shipping", F.when(in_store, F.lit(0).cast("long")).otherwise(F.col("shipping"))).withColumn(
+        "net_revenue", F.col("gross") - F.col("discount_amount") + F.col("shipping"))
+
+
 def sellers(spark: SparkSession, folder: str) -> DataFrame:
     """Seller, store and region."""
     supplier = table(spark, folder, "supplier")

@@ -14,7 +14,7 @@ from tidemark.plans.bronze import (
     bronze_frame_style, bronze_sql_style, gmv_by_channel, gold_kpis,
 )
 from tidemark.plans.facts import (
-    order_lines, risk_columns, sellers, targets, with_channel, with_product,
+    STORE_CHANNEL, order_lines, risk_columns, sellers, targets, with_channel, with_product, without_store_shipping,
 )
 from tidemark.plans.oracle import BRONZE_FRAME, BRONZE_SQL, FACTS, GOLD, TARGETS
 from tidemark.plans.registry import query
@@ -139,6 +139,20 @@ def _(spark, folder):
     )
 
 
+@query("store_shipping", f"""WITH {FACTS}, t AS (
+  SELECT order_id, line_number, seller_id, channel, status, gross, discount_amount, cogs,
+         CASE WHEN channel = '{STORE_CHANNEL}' THEN 0 ELSE shipping END AS shipping FROM f)
+SELECT order_id, line_number, seller_id, channel, status, CAST(shipping AS DOUBLE) AS shipping,
+       CAST(gross - discount_amount + shipping AS DOUBLE) AS net_revenue,
+       CAST(gross - discount_amount + shipping - cogs AS DOUBLE) AS profit FROM t""")
+def _(spark, folder):
+    """Order economics where physical stores charge no shipping."""
+    lines = without_store_shipping(with_channel(with_product(order_lines(spark, folder), spark, folder), spark, folder))
+    return lines.select(
+        "order_id", "line_number", "seller_id", "channel", "status", units(F.col("shipping")).alias("shipping"),
+        units(F.col("net_revenue")).alias("net_revenue"), units(F.col("net_revenue") - F.col("cogs")).alias("profit"))
+
+
 @query("order_risk", f"""WITH {FACTS} SELECT order_id, line_number,
 ROUND(CAST(0.04 AS DOUBLE) + CASE WHEN discount_pct >= {DEEP_DISCOUNT} THEN CAST(0.05 AS DOUBLE) ELSE 0 END, 6)
 AS p_cancel,

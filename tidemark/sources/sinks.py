@@ -72,11 +72,3 @@ def run_script(spark: SparkSession, statements: Iterable[str]) -> list[DataFrame
 def run_named(spark: SparkSession, named: Mapping[str, str]) -> dict[str, DataFrame]:
     return {name: spark.sql(text) for name, text in named.items()}
 
-
-def append_orders(df: DataFrame, path: str, unit: str = "day") -> None:
-    """Append raw order facts, split by day (or a longer ``unit``, by its first day) so that readers prune.
-
-    Each part is written by one task, large ones by several.
-    """
-    dated = df.withColumn("order_date", F.to_date(F.date_trunc(unit, "event_time")))
-    dated.hint("rebalance", "order_date").write.mode("append").partitionBy("order_date").parquet(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql.types import StructType
 
 BatchWriter = Callable[[DataFrame, int], None]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Seconds between two looks at a running query.
+POLL_S = 0.2
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -79,6 +82,63 @@ def run_continuously(
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 
 
+def run_until_idle(
+    writer: DataStreamWriter, checkpoint: str, max_idle_s: float, interval: str = "1 second",
+    enough: Callable[[], bool] = lambda: False,
+) -> StreamingQuery:
+    """A running query that ends by itself: once no data came for ``max_idle_s`` seconds, or ``enough`` says so.
+
+    Time that a micro-batch takes is not idle. A failure of the query surfaces.
+    """
+    query = run_continuously(writer, checkpoint, interval)
+    try:
+        busy, seen = time.monotonic(), None
+        while query.isActive and not enough():
+            progress = query.lastProgress
+            batch = progress["batchId"] if progress and progress["numInputRows"] else seen
+            if query.status["isDataAvailable"] or batch != seen:
+                busy, seen = time.monotonic(), batch
+            if time.monotonic() - busy > max_idle_s:
+                break
+            query.awaitTermination(POLL_S)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+    return query
+
+
+def first_records(path: str, wanted: int, order: Sequence[str]) -> BatchWriter:
+    """Batch writer of the first ``wanted`` records over all micro-batches, in ``order`` inside each.
+
+    ``path/taken`` holds the number taken so far under the batch's id; a repeated batch starts from its predecessor's.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        before = taken(spark, path, upto=batch_id - 1)
+        write_batch(df.orderBy(*order).limit(wanted - before), f"{path}/rows", batch_id)
+        more = spark.read.schema(df.schema).parquet(batch_path(f"{path}/rows", batch_id)).count()
+        write_batch(spark.createDataFrame([(before + more,)], "taken long").coalesce(1), f"{path}/taken", batch_id)
+        forget_batches(spark, f"{path}/taken", before=batch_id - 1)
+
+    return write
+
+
+def taken(spark: SparkSession, path: str, upto: int | None = None) -> int:
+    """Records that :func:`first_records` has taken."""
+    done = [b for b in complete_batches(spark, f"{path}/taken") if upto is None or b <= upto]
+    return spark.read.schema("taken long").parquet(batch_path(f"{path}/taken", done[-1])).first()["taken"] if done else 0
+
+
+def forget_batches(spark: SparkSession, path: str, before: int) -> None:
+    """Remove the folders of the batches below ``before``: states that a later batch has taken over."""
+    for batch_id in complete_batches(spark, path):
+        if batch_id < before:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(batch_path(path, batch_id))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 

@@ -13,7 +13,9 @@ from tidemark.functions.scalars import units
 from tidemark.operators.latest import latest_per_key
 from tidemark.sources.readers import read_snapshot
 from tidemark.sources.sinks import write_snapshot
-from tidemark.streaming.runs import BatchWriter, batch_path, complete_batches, is_complete, read_batches, write_batch
+from tidemark.streaming.runs import (
+    BatchWriter, batch_path, complete_batches, forget_batches, is_complete, read_batches, write_batch,
+)
 
 
 def upsert_writer(
@@ -59,34 +61,35 @@ def compact_upsert(
 KPI_TOTALS = "g long, p long, orders long"
 
 
+def kpi_writer(stream: DataFrame, path: str) -> DataStreamWriter:
+    """Keep the executive KPIs of a stream of order lines current.
+
+    Which orders were seen is Spark's keyed state: it looks up the ids of the batch and nothing else, so the cost of a
+    batch follows the batch. Lines and orders seen for the first time reach :func:`kpi_batches` together.
+    """
+    profit = F.when(F.col("status") == "PAID", F.col("net_revenue") - F.col("cogs"))
+    lines = stream.select(F.col("gross").alias("g"), profit.alias("p"), F.lit(0).cast("long").alias("orders"))
+    fresh = stream.select("order_id").filter(F.col("order_id").isNotNull()).dropDuplicates(["order_id"])
+    return lines.unionByName(fresh.select(F.lit(1).cast("long").alias("orders")), allowMissingColumns=True).writeStream.foreachBatch(kpi_batches(path))
+
+
 def kpi_batches(path: str) -> BatchWriter:
-    """Batch writer that keeps the executive KPIs current.
-
-    A batch adds its sums and its orders seen for the first time to the totals of the
-    batch before it and writes both under its own id, then the snapshot at
-    ``path/snapshot``, a fixed place. A repeated batch replaces its own figures, and a
-    crash between two writes leaves the last whole totals: sums and orders always
-    belong to the same rows. Order ids that were seen are kept for ever, one folder a
-    batch; that is what a count of distinct orders takes.
+    """Batch writer that adds a batch's sums to the totals of the batch before it.
+
+    The totals are written under the batch's own id, then the snapshot at ``path/snapshot``, a fixed place. A repeated
+    batch replaces its own figures, and a crash between two writes leaves the last whole totals: sums and orders always
+    belong to the same rows. Only the totals of the last two batches are kept.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        rows = df.persist()
-        try:
-            known = read_batches(spark, f"{path}/orders", StructType().add("order_id", "long"), upto=batch_id - 1)
-            write_batch(rows.select("order_id").distinct().join(known, "order_id", "left_anti"), f"{path}/orders", batch_id)
-            fresh = spark.read.schema("order_id long").parquet(batch_path(f"{path}/orders", batch_id))
-            profit = F.when(F.col("status") == "PAID", F.col("net_revenue") - F.col("cogs"))
-            parts = rows.agg(F.sum("gross").alias("g"), F.sum(profit).alias("p")).withColumn("orders", F.lit(0).cast("long"))
-            parts = parts.unionByName(fresh.agg(F.count("*").alias("orders")), allowMissingColumns=True)
-            if batch_id and is_complete(spark, f"{path}/totals", batch_id - 1):
-                parts = parts.unionByName(spark.read.schema(KPI_TOTALS).parquet(batch_path(f"{path}/totals", batch_id - 1)))
-            write_batch(parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("g", "p", "orders")]), f"{path}/totals", batch_id)
-            totals = spark.read.schema(KPI_TOTALS).parquet(batch_path(f"{path}/totals", batch_id))
-            write_snapshot(kpi_figures(totals), f"{path}/snapshot")
-        finally:
-            rows.unpersist()
+        parts = df.select("g", "p", "orders")
+        if batch_id and is_complete(spark, f"{path}/totals", batch_id - 1):
+            parts = parts.unionByName(spark.read.schema(KPI_TOTALS).parquet(batch_path(f"{path}/totals", batch_id - 1)))
+        write_batch(parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("g", "p", "orders")]), f"{path}/totals", batch_id)
+        totals = spark.read.schema(KPI_TOTALS).parquet(batch_path(f"{path}/totals", batch_id))
+        write_snapshot(kpi_figures(totals), f"{path}/snapshot")
+        forget_batches(spark, f"{path}/totals", before=batch_id - 1)
 
     return write
 
@@ -99,3 +102,29 @@ def kpi_figures(totals: DataFrame) -> DataFrame:
 def kpi_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     """The snapshot at its fixed place; None before the first batch."""
     return read_snapshot(spark, f"{path}/snapshot", StructType().add("gmv", "double").add("net_profit", "double").add("avg_ticket", "double"))
+
+
+# ---- raw orders --------------------------------------------------------------------------
+
+def orders_writer(stream: DataFrame, path: str, unit: str = "day") -> DataStreamWriter:
+    """Append raw order facts; a batch that is delivered again replaces its own rows."""
+    return stream.writeStream.foreachBatch(lambda df, batch_id: append_orders(df, path, batch_id, unit))
+
+
+def append_orders(df: DataFrame, path: str, batch_id: int, unit: str = "day") -> None:
+    """One batch of raw order facts in its own folder, split by day (or a longer ``unit``, by its first day).
+
+    Readers prune by ``order_date`` and take complete batches only. Each part is written by one task, large ones by several.
+    """
+    dated = df.withColumn("order_date", F.to_date(F.date_trunc(unit, "event_time")))
+    dated.hint("rebalance", "order_date").write.mode("overwrite").partitionBy("order_date").parquet(batch_path(path, batch_id))
+
+
+def read_orders(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The order facts of all complete batches, with ``order_date`` and ``batch_id``."""
+    return read_batches(spark, path, StructType([*schema.fields]).add("order_date", "date"))
+
+
+def compact_orders(spark: SparkSession, path: str, into: str, schema: StructType) -> None:
+    """Copy the complete batches into one table at ``into``, split by ``order_date`` alone; replaces what was there."""
+    read_orders(spark, path, schema).drop("batch_id").hint("rebalance", "order_date").write.mode("overwrite").partitionBy("order_date").parquet(into)
