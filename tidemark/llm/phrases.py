@@ -3,8 +3,9 @@
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends, and pieces into words. Every word begins a
 suffix: itself and up to three more words of its piece.
 
-1. Words are counted for each language. Words below ``least`` end a suffix, as no frequent phrase holds them; a filter of
-   fixed size tells the tasks which these are, and what it lets through wrongly costs work, not exactness.
+1. Words are counted for each language, and hashes of neighbouring words over all. Two filters of fixed size tell the
+   tasks which words and which pairs reach ``least``; a suffix ends before a word or a pair that does not, as no frequent
+   phrase holds it. What a filter lets through wrongly costs work, not exactness.
 2. Each task combines its equal suffixes. They are written once, then routed by their leading words: range partitions
    over (language, word 1, ..., word 4), so a leading word of any frequency is cut at its second, third or fourth word.
 3. A task sorts pointers to its suffixes to depth four. All open partitions take a round together: each is split by a
@@ -35,11 +36,11 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 #: All piece ends to a line feed, a tab to a space.
 SIMPLER = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
 #: Text that is worked at once, in bytes; a longer text is one portion.
-PORTION = 8 << 20
+PORTION = 4 << 20
 #: Bits of the filter of frequent words (a power of two).
 FILTER_BITS = 1 << 27
 #: Rows of suffixes that make one range.
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 250_000
 WORDS = [f"w{i}" for i in range(1, DEPTH + 1)]
 SUFFIX = "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long"
 
@@ -62,12 +63,12 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
 
 def _coded(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words, the word at each place, and the number of its piece."""
-    words = pa.array(data.split(), pa.binary()).dictionary_encode()
+    words = pc.split_pattern(pa.array([data.replace(b"\n", b" ")], pa.large_binary()), " ").flatten()
+    words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
     raw = np.frombuffer(data, np.uint8)
     letter = (raw != 32) & (raw != 10)
-    begins = letter.copy()
-    begins[1:] &= ~letter[:-1]
-    return words.dictionary, words.indices.to_numpy(), np.cumsum(raw == 10)[begins]
+    letter[1:] &= (raw[:-1] == 32) | (raw[:-1] == 10)  # from here on: the first letter of a word
+    return words.dictionary.cast(pa.binary()), words.indices.to_numpy(), np.searchsorted(np.flatnonzero(raw == 10), np.flatnonzero(letter))
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,14 +80,9 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["lang", "word", "n"])
 
 
-def _name(lang: str, word: bytes) -> bytes:
-    return lang.encode() + b"\0" + word
-
-
-def frequent_bits(words: DataFrame) -> bytes:
-    """Filter of the (language, word) pairs: two bits of each pair's hash. Its size is fixed."""
-    h = F.xxhash64(F.concat(F.encode("lang", "UTF-8"), F.unhex(F.lit("00")), F.encode("word", "UTF-8")))
-    bits = words.select(h.alias("h")).select(F.explode(F.array(
+def frequent_bits(hashes: DataFrame) -> bytes:
+    """Filter of the column ``h``: two bits of each hash. Its size is fixed."""
+    bits = hashes.select(F.explode(F.array(
         F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(FILTER_BITS - 1)))).alias("bit"))
     pages = bits.groupBy(F.floor(F.col("bit") / 32768).alias("page")).agg(F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits"))
     out = bytearray(FILTER_BITS // 8)
@@ -95,39 +91,63 @@ def frequent_bits(words: DataFrame) -> bytes:
     return bytes(out)
 
 
-def _frequent(lang: str, words: pa.Array, bits: np.ndarray) -> np.ndarray:
-    head = lang.encode() + b"\0"
-    h = np.fromiter((xxhash.xxh64_intdigest(head + w, 42) for w in words.to_pylist()), np.uint64, len(words))
+def _within(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes the filter may hold."""
     mask = np.uint64(FILTER_BITS - 1)
-    found = np.ones(len(words), bool)
+    found = np.ones(len(h), bool)
     for bit in (h & mask, (h >> np.uint64(32)) & mask):
         found &= (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
     return found
 
 
-def suffixes(bits) -> callable:
+def _frequent(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[tuple]:
+    """Of each portion: language, frequent words (the empty word first), word at each place, pairs' hashes (0: no pair).
+
+    A place holds 0 where its word is not frequent; a pair is a frequent word and the frequent word after it in its piece.
+    """
+    for lang, data in _portions(batches):
+        words, codes, piece = _coded(data)
+        head = lang.encode() + b"\0"
+        h = np.fromiter((xxhash.xxh64_intdigest(head + w, 42) for w in words.to_pylist()), np.uint64, len(words))
+        kept = _within(h, bits)
+        codes = np.where(kept[codes], np.cumsum(kept)[codes], 0)
+        words = pa.concat_arrays([pa.array([b""], pa.binary()), words.filter(pa.array(kept))])
+        h = np.append(np.zeros(1, np.uint64), h[kept])
+        pair = np.zeros(len(codes), np.uint64)
+        there = (codes[:-1] > 0) & (codes[1:] > 0) & (piece[:-1] == piece[1:])
+        after = h[codes[1:][there]]
+        pair[:-1][there] = (h[codes[:-1][there]] ^ (after << np.uint64(31) | after >> np.uint64(33))) | np.uint64(1 << 63)
+        yield lang, words, codes, pair
+
+
+def pair_hashes(bits) -> callable:
+    """Hashes of neighbouring frequent words with their number in each portion."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, pair in _frequent(batches, np.frombuffer(bits.value, np.uint8)):
+            keys, n = np.unique(pair[pair > 0], return_counts=True)
+            yield from pa.Table.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"]).to_batches(max_chunksize=200_000)
+
+    return run
+
+
+def suffixes(bits, pair_bits) -> callable:
     """Distinct suffixes of two words or more of each portion, with their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(bits.value, np.uint8)
-        for lang, data in _portions(batches):
-            words, codes, piece = _coded(data)
-            if not len(words):
-                continue
-            kept = _frequent(lang, words, table)
-            number = np.cumsum(kept)  # from 1; 0 stands for no word
-            codes = np.where(kept[codes], number[codes], 0)
-            words = pa.concat_arrays([pa.array([b""], pa.binary()), words.filter(pa.array(kept))])
-            columns = [codes]
+        for lang, words, codes, pair in _frequent(batches, np.frombuffer(bits.value, np.uint8)):
+            goes_on = pair > 0
+            goes_on[goes_on] = _within(pair[goes_on], np.frombuffer(pair_bits.value, np.uint8))
+            columns = [codes.astype(np.int64)]
             for depth in range(1, DEPTH):
-                ahead = np.zeros_like(codes)
+                ahead = np.zeros(len(codes), np.int64)
                 if len(codes) > depth:
-                    ahead[:-depth] = np.where(piece[depth:] == piece[:-depth], codes[depth:], 0)
+                    ahead[:-depth] = np.where(goes_on[depth - 1:-1], codes[depth:], 0)
                 columns.append(np.where(columns[-1] > 0, ahead, 0))
             there = columns[1] > 0
-            columns = [c[there].astype(np.int64) for c in columns]
-            if not len(columns[0]):
+            if not there.any():
                 continue
+            columns = [c[there] for c in columns]
             size = len(words)
             left, left_at = np.unique(columns[0] * size + columns[1], return_inverse=True)
             right, right_at = np.unique(columns[2] * size + columns[3], return_inverse=True)
@@ -230,13 +250,17 @@ def phrase_counts(docs: DataFrame, least: int = 30, text: str = "text", lang: st
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     words = rows.mapInArrow(count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = written(words, "phrase-words")
-    bits = spark.sparkContext.broadcast(frequent_bits(words.filter(F.col("n") >= least)))
-    found = written(rows.mapInArrow(suffixes(bits), SUFFIX), "phrase-suffixes")
+    named = F.xxhash64(F.concat(F.encode("lang", "UTF-8"), F.unhex(F.lit("00")), F.encode("word", "UTF-8")))
+    bits = spark.sparkContext.broadcast(frequent_bits(words.filter(F.col("n") >= least).select(named.alias("h"))))
+    pairs = rows.mapInArrow(pair_hashes(bits), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    pair_bits = spark.sparkContext.broadcast(frequent_bits(pairs.filter(F.col("n") >= least)))
+    found = written(rows.mapInArrow(suffixes(bits, pair_bits), SUFFIX), "phrase-suffixes")
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found.count() // RANGE_ROWS))
     routed = found.repartitionByRange(ranges, "lang", *WORDS)
     counts = routed.mapInArrow(counted(least), "lang string, phrase string, n long")
     phrases = written(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-counts")
     bits.destroy()
+    pair_bits.destroy()
     return words, phrases
 
 
