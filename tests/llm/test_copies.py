@@ -123,7 +123,7 @@ def mined(spark, rows, **how):
 
 def phrase_rows():
     rng = random.Random(3)
-    words = ["the", "of", "New", "york", "city", "é", "a\x00b", "ﬁn", "日本", "x" * 300, "\xa0", "s\x1cs"]
+    words = ["the", "of", "New", "york", "city", "é", "a", "a\x01", "a\x00b", "ﬁn", "日本", "x" * 300, "\xa0", "s\x1cs"]
     rows = []
     for i in range(60):
         text = "".join(rng.choice(words) + rng.choice([" ", "  ", "\t", " ", " ", ", ", ".", "\n", " "]) for _ in range(rng.randrange(120)))
@@ -185,10 +185,14 @@ def plain_alignment(texts):
             ends = np.cumsum([len(size[i]) for i in ids]).tolist()
             spans.append(list(zip([0, *ends[:-1]], ends, ids, strict=False)) if ids else [])
         both = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
-        groups, start = [], 0
-        for end in both:
-            groups.append("|".join(",".join(str(i) for s, e, i in side if start <= s and e <= end) for side in spans))
-            start = end
+        cut = {e: k for k, e in enumerate(both)}  # the group that ends there
+        sides = [[[] for _ in both] for _ in spans]
+        for side, tokens in zip(sides, spans, strict=True):
+            at = 0
+            for _, e, i in tokens:
+                side[at].append(str(i))
+                at += e in cut
+        groups = ["|".join(map(",".join, pair)) for pair in zip(*sides, strict=True)]
         at, links = 0, []
         for s, e, i in spans[0]:
             while at and spans[1][at - 1][1] > s:
@@ -207,7 +211,7 @@ def plain_alignment(texts):
 
 
 HARD = ["  two  spaces ", " lead", "tail ", "a▁b", "▁", "<s> </s> <unk>", "<|endoftext|> x<|endoftext|>", "\x00\x01", "tab\tand\nline\r\n", "don't we'll",
-        "日本語 テスト🙂🙂", "ﬁ é é ü", "\xa0　x", "x" * 3000, "１２３ 4567 8.9", "aaaaaaaaaa bbb" * 20, " ", "\n", "ß" * 200, "a  b" * 50]
+        "日本語 テスト🙂🙂", "ﬁ é é ü", "\xa0　x", "x" * 3000, "１２３ 4567 8.9", "aaaaaaaaaa bbb" * 20, " ", "\n", "a\n", "one.\nTwo\n\nthree\n four", "a\tb\nc d\x1c\ne", "\nx\ny z\n", "l1\nl2\nl3 l1\nl2", "a\n\xa0b c\x85\nd", "ß" * 200, "a  b" * 50]
 
 
 def test_alignment_equals_plain_version(spark, small, monkeypatch):
@@ -218,14 +222,14 @@ def test_alignment_equals_plain_version(spark, small, monkeypatch):
     columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     for hot in (align.HOT, 5):
         monkeypatch.setattr(align, "HOT", hot)  # with few, nearly all pairs are joined
-        got = align.cross_alignment(docs, A, B).collect()
+        got = align.cross_alignment(docs, A, B, public_tokenizers.PATTERN).collect()
         assert {r["doc_id"]: tuple(r[c] for c in columns) for r in got} == want
         assert len(got) == len(texts)
 
 
 def test_groups_and_map(spark):
     docs = spark.createDataFrame([("k", "hello world"), ("k", "hello world"), (None, None)], "id string, text string")
-    rows = align.align(docs, A, B, key="id")
+    rows = align.align(docs, A, B, public_tokenizers.PATTERN, key="id")
     pairs = align.pair_counts(rows, A, B)
     links = align.best_links(rows, pairs, A, B).collect()
     assert len(links) == 3 and sorted(r["n_links"] for r in links) == sorted([0, links[0]["n_links"], links[0]["n_links"]] if links[0]["n_links"] else [0, links[1]["n_links"], links[1]["n_links"]])
@@ -236,7 +240,7 @@ def test_groups_and_map(spark):
 
 
 def test_alignment_of_nothing(spark, tmp_path):
-    assert align.cross_alignment(nothing(spark), A, B).count() == 0
+    assert align.cross_alignment(nothing(spark), A, B, public_tokenizers.PATTERN).count() == 0
     nothing(spark).write.parquet(f"{tmp_path}/documents.parquet")
     for name in ("op11_exact_dedup", "op12_collocations", "op13_cross_tokenizer"):
         assert QUERIES[name](spark, str(tmp_path)).count() == 0

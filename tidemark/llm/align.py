@@ -9,8 +9,9 @@ group every A and B token that overlap are a link.
 * The counts that all documents need come back in three bounded pieces: the vector of identity pairs, the highest count
   of each B id, and the ``HOT`` most frequent other pairs. Pairs beyond these, each rare by then, are joined.
 
-Words after single spaces are aligned one by one and kept in a bounded table: A's public pattern begins a piece at such a
-space, and a vocabulary in which no B piece has a space after another character (checked) lets no B token cross it.
+Words after single spaces, and lines after single line ends inside them, are aligned one by one and kept in a bounded
+table: A's public pattern begins a piece there, and a vocabulary in which no B piece has a space after another character
+or a line end beside one (checked) lets no B token cross.
 Texts with other spaces, and those that hold B's own mark for a space, are aligned whole.
 
 Defined cases: a text that is null, empty, or that either tokenizer does not give back byte by byte has no tokens, zeros
@@ -21,8 +22,8 @@ further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -34,15 +35,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import written
-from tidemark.llm.dac import WordIds, _byte_letters
+from tidemark.llm.dac import _byte_letters
 
 #: Pairs beside the identity map whose counts go to every task: 2 MB.
 HOT = 1 << 17
 #: Words kept by each of two tables, and the longest that is kept.
-KEPT_WORDS, KEPT_LENGTH = 80_000, 64
+KEPT_WORDS, KEPT_LENGTH = 150_000, 64
 #: Pairs gathered before a task combines them.
 GATHERED = 2_000_000
 MARK = "▁"
+#: A space before white space or the end.
+ODD = re.compile(r" (?:\s|\Z)")
+#: A letter that is one token of both after a space.
+CARRIER = "a"
 
 
 def vocabulary_bytes(path_a: str, path_b: str) -> tuple[list[bytes], list[bytes]]:
@@ -69,85 +74,131 @@ def identity_map(a: list[bytes], b: list[bytes], skip: int = 3) -> np.ndarray:
     return np.array([by.get(data, -1) for data in a], np.int64)
 
 
-class PlainWords(WordIds):
-    """A's ids of a text in which the strings of special tokens are ordinary text."""
+class RankWords:
+    """A's ids of texts, by the ranks of its vocabulary: an id is the rank of its merge. Special tokens are ordinary text."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.tokenizer.encode_special_tokens = True
-        self.added = re.compile(r"(?!)")
+    def __init__(self, vocabulary: list[bytes], special: set[int], pattern: str):
+        import tiktoken
+
+        ranks = {data: number for number, data in enumerate(vocabulary) if number not in special}
+        self.encoding = tiktoken.Encoding("A", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.begins = [data[:1] == b" " for data in vocabulary]
+
+    def ids(self, text: str) -> list[int]:
+        return self.encoding.encode_ordinary(text)
+
+
+def _cut(ids: list[int], begins: list[bool], words: list[str]) -> list[list[int]] | None:
+    """The ids of words that spaces part, one list for each word; None where the tokens do not begin at the words."""
+    starts = [place for place, number in enumerate(ids) if begins[number]]
+    if len(starts) != len(words) or starts[0]:
+        return None
+    return [ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)]
 
 
 class Aligner:
     """Aligned words and texts of one pair of tokenizers."""
 
-    def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path_a: str, path_b: str, pattern: str):
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        self.words_a = PlainWords(path_a)
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a, self.b = vocabulary_bytes(path_a, path_b)
+        self.words_a = RankWords(self.a, set(Tokenizer.from_file(path_a).get_added_tokens_decoder()), pattern)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.size_a, self.size_b = list(map(len, self.a)), list(map(len, self.b))
         self.stride = len(self.b)
         self.identity = identity_map(self.a, self.b)
-        # Words may be worked alone only where no piece goes on after a space.
-        self.by_words = not any(b" " in data.lstrip(b" ") for data in self.b if data.startswith(b" ") or b" " in data)
+        self.begins = [data[:1] == b" " for data in self.b]
+        # Words may be worked alone only where no piece goes on after a space, and lines of one only where none has a line end inside.
+        self.by_words = not any(b" " in data.lstrip(b" ") for data in self.b)
+        carrier = b" " + CARRIER.encode()
+        self.by_lines = carrier in self.a and carrier in self.b and not any(b"\n" in data for data in self.b if data != b"\n")
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
-    def pair(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
+    def pair(self, data: bytes, ids_a: list[int], ids_b: list[int]) -> tuple | None:
         """(A tokens, B tokens, groups, links, groups as text, A ids of identity groups, keys of other pairs); None where bytes differ."""
-        data = (" " + text).encode()
         if b"".join([self.a[i] for i in ids_a]) != data or b"".join([self.b[i] for i in ids_b]) != data:
             return None
         ends_a = list(accumulate([self.size_a[i] for i in ids_a]))
         ends_b = list(accumulate([self.size_b[i] for i in ids_b]))
         groups, same, other = [], [], []
-        i = j = from_a = from_b = links = 0
+        i = j = from_a = from_b = 0
         while i < len(ends_a):
-            if ends_a[i] < ends_b[j]:
-                other.append(ids_a[i] * self.stride + ids_b[j])
-                i += 1
-            elif ends_b[j] < ends_a[i]:
+            if ends_a[i] != ends_b[j]:
                 other.append(ids_a[i] * self.stride + ids_b[j])
-                j += 1
-            else:
-                if i == from_a and j == from_b and self.identity[ids_a[i]] == ids_b[j]:
-                    same.append(ids_a[i])
+                if ends_a[i] < ends_b[j]:
+                    i += 1
                 else:
-                    other.append(ids_a[i] * self.stride + ids_b[j])
-                i += 1
-                j += 1
-                groups.append(",".join(map(str, ids_a[from_a:i])) + "|" + ",".join(map(str, ids_b[from_b:j])))
-                from_a, from_b = i, j
-        links = len(same) + len(other)
-        return (len(ids_a), len(ids_b), len(groups), links, ";".join(groups).encode(),
-                np.array(same, np.int32).tobytes(), np.array(other, np.int64).tobytes())
+                    j += 1
+                continue
+            if i == from_a and j == from_b and self.identity[ids_a[i]] == ids_b[j]:
+                same.append(ids_a[i])
+                groups.append(f"{ids_a[i]}|{ids_b[j]}")
+            else:
+                other.append(ids_a[i] * self.stride + ids_b[j])
+                groups.append(",".join(map(str, ids_a[from_a:i + 1])) + "|" + ",".join(map(str, ids_b[from_b:j + 1])))
+            i += 1
+            j += 1
+            from_a, from_b = i, j
+        return (len(ids_a), len(ids_b), len(groups), len(same) + len(other), ";".join(groups).encode(),
+                array("i", same).tobytes(), array("q", other).tobytes())
+
+    def _each(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """A and B ids of a space and the word, for each of some words."""
+        text = " ".join(words)
+        found_a = _cut(self.words_a.ids(" " + text), self.words_a.begins, words)
+        found_b = _cut(self.model.encode(text), self.begins, words)
+        return (found_a or [self.words_a.ids(" " + word) for word in words], found_b or [self.model.encode(word) for word in words])
 
     def _learn(self, words: list[str]) -> dict[str, tuple | None]:
-        found_b = self.model.encode(words, num_threads=1)
-        return {w: self.pair(w, np.frombuffer(self.words_a.word(w), "<u4").tolist(), ids) for w, ids in zip(words, found_b, strict=True)}
+        """Words with their entries; one that begins with a line end is worked behind a letter that is one token of both."""
+        found = {}
+        for word, ids_a, ids_b in zip(words, *self._each([CARRIER + w if w[0] == "\n" else w for w in words]), strict=True):
+            line = word[0] == "\n"
+            found[word] = self.pair(word.encode() if line else (" " + word).encode(), ids_a[line:], ids_b[line:])
+        return found
+
+    def _lines(self, word: str) -> list[str] | None:
+        """A word with single line ends as its first line and the others, each with its line end; None for other words."""
+        if "\n" not in word or not self.by_lines:
+            return None
+        first, *rest = word.split("\n")
+        if not first or "" in rest[:-1] or len(word.split()) != len(rest) + 1 - (rest[-1] == ""):
+            return None
+        return [first, *["\n" + part for part in rest]]
 
     def _words(self, words: list[str]) -> list[tuple | None]:
         if len(self.young) > KEPT_WORDS:
             self.young, self.old = {}, self.young
-        young, missing = self.young, []
+        young, old, missing, lines = self.young, self.old, set(), {}
         for word in set(words).difference(young):
-            if (found := self.old.get(word, missing)) is missing:
-                missing.append(word)
-            else:
-                young[word] = found
-        fresh = self._learn(missing) if missing else {}
+            parts = self._lines(word)
+            if parts:
+                lines[word] = parts
+            for part in parts or [word]:
+                if part not in young:
+                    if part in old:
+                        young[part] = old[part]
+                    else:
+                        missing.add(part)
+        fresh = self._learn(list(missing)) if missing else {}
         young.update((w, x) for w, x in fresh.items() if len(w) <= KEPT_LENGTH)
-        return [young[w] if w in young else fresh[w] for w in words]
+        out = []
+        for word in words:
+            if word in young:
+                out.append(young[word])
+            else:
+                out += [young[part] if part in young else fresh[part] for part in lines.get(word, (word,))]
+        return out
 
     def text(self, text: str) -> tuple | None:
         """As :meth:`pair`, for a whole text; None where it has no tokens."""
         if not text:
             return None
-        if not self.by_words or MARK in text or WordIds.ODD.search(" " + text):
-            return self.pair(text, self.words_a.ids(" " + text, 0)[:-1].tolist(), self.model.encode([text], num_threads=1)[0])
+        if not self.by_words or MARK in text or ODD.search(" " + text):
+            return self.pair((" " + text).encode(), self.words_a.ids(" " + text), self.model.encode(text))
         parts = self._words(text.split(" "))
         if None in parts:
             return None
@@ -155,13 +206,13 @@ class Aligner:
         return sum(n_a), sum(n_b), sum(n_groups), sum(links), b";".join(groups), b"".join(same), b"".join(other)
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple[str, ...], Aligner] = {}
 
 
-def _aligner(path_a: str, path_b: str) -> Aligner:
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+def _aligner(*place: str) -> Aligner:
+    if place not in _ALIGNERS:
+        _ALIGNERS[place] = Aligner(*place)
+    return _ALIGNERS[place]
 
 
 def _tally(data: bytes, dtype) -> tuple[bytes, bytes]:
@@ -176,7 +227,9 @@ ALIGNED = T.StructType([
     T.StructField("groups", T.StringType()), *[T.StructField(c, T.BinaryType()) for c in ("same", "same_n", "other", "other_n")]])
 
 
-def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: str = "text", groups: bool = True) -> DataFrame:
+def align(
+    docs: DataFrame, path_a: str, path_b: str, pattern: str, key: str = "doc_id", text: str = "text", groups: bool = True
+) -> DataFrame:
     """One row for each document: its counts, its groups (as text where asked for) and its pairs, ``row`` numbering the rows.
 
     ``same`` are the distinct A ids of identity groups (32 bits each) with ``same_n``, ``other`` the distinct keys
@@ -186,7 +239,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     schema = T.StructType([rows.schema["key"], *ALIGNED.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(path_a, path_b)
+        aligner = _aligner(path_a, path_b, pattern)
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             at, held, size = 0, [], 0
@@ -217,10 +270,11 @@ def _numbers(column: pa.Array, dtype) -> np.ndarray:
 
 def pair_counts(aligned: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``key`` (A id * size of B + B id) and ``n``, the links of that pair in all documents."""
+    a, b = vocabulary_bytes(path_a, path_b)
+    stride, identity = len(b), identity_map(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(path_a, path_b)
-        vector = np.zeros(len(aligner.identity), np.int64)
+        vector = np.zeros(len(identity), np.int64)
         held, held_n, size = [], [], 0
 
         def combined() -> pa.RecordBatch:
@@ -238,7 +292,7 @@ def pair_counts(aligned: DataFrame, path_a: str, path_b: str) -> DataFrame:
         if held:
             yield combined()
         there = np.flatnonzero(vector)
-        yield _counted(there * aligner.stride + aligner.identity[there], vector[there])
+        yield _counted(there * stride + identity[there], vector[there])
 
     def _counted(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
@@ -314,9 +368,14 @@ def _tallies(batch: pa.RecordBatch, name: str, dtype) -> tuple[np.ndarray, np.nd
     return np.repeat(np.arange(len(sizes)), sizes), _numbers(column, dtype), _numbers(batch.column(name + "_n"), np.int32).astype(np.int64)
 
 
-def cross_alignment(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: str = "text", groups: bool = False) -> DataFrame:
-    """Alignment of every document with the counts that its links have in the whole corpus."""
-    rows = align(docs, path_a, path_b, key, text, groups)
+def cross_alignment(
+    docs: DataFrame, path_a: str, path_b: str, pattern: str, key: str = "doc_id", text: str = "text", groups: bool = False
+) -> DataFrame:
+    """Alignment of every document with the counts that its links have in the whole corpus.
+
+    ``path_a`` is the JSON file of a byte-level BPE whose ids are the ranks of its merges, ``pattern`` what cuts its texts.
+    """
+    rows = align(docs, path_a, path_b, pattern, key, text, groups)
     return best_links(rows, pair_counts(rows, path_a, path_b), path_a, path_b).withColumnRenamed("key", key)
 
 

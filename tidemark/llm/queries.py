@@ -110,5 +110,6 @@ def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_cross_tokenizer")
 def cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
     return align.cross_alignment(
-        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.PATTERN).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
