@@ -135,12 +135,24 @@ def _by_list(rows: DataFrame, work: Callable[[dict[str, np.ndarray], np.ndarray]
 
 
 def _shared(part: dict[str, np.ndarray], bounds: np.ndarray) -> dict[str, np.ndarray]:
-    """Rows of lists with two nodes or more; a node that several tasks sent stands once."""
+    """Rows of lists with two nodes or more; a node that several tasks sent stands once.
+
+    Rows without a partner that length and position allow go as well: what is left of row i behind the match is enough
+    for partners of up to ``9 left / 4 - n`` shingles, so the smallest one that is long enough decides.
+    """
     keep = np.ones(len(part["h"]), bool)
     keep[1:] = (part["h"][1:] != part["h"][:-1]) | (part["sig"][1:] != part["sig"][:-1]) | (part["n"][1:] != part["n"][:-1])
-    first = np.concatenate([[0], np.cumsum(keep)])[bounds]
-    size = np.repeat(np.diff(first), np.diff(bounds))
-    return {c: v[keep & (size > 1)] for c, v in part.items()}
+    number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[keep]
+    part = {c: v[keep] for c, v in part.items()}
+    for _ in range(2):  # the second turn: partners that went in the first
+        n, left = part["n"], part["n"] - part["pos"]
+        place = number * (int(n.max(initial=0)) * 2 + 1)  # lists side by side, in each the rows by size
+        at = np.searchsorted(place + n, place + -(-4 * n // 5))
+        at += at == np.arange(len(n))
+        there = np.minimum(at, len(n) - 1)
+        good = (at < len(n)) & (number[there] == number) & (n[there] <= np.minimum(9 * left // 4 - n, 5 * n // 4))
+        part, number = {c: v[good] for c, v in part.items()}, number[good]
+    return part
 
 
 def _passes(part: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -158,17 +170,22 @@ def _as_pairs(part: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> dict
 
 
 def _meetings(salt: int) -> Callable:
-    """Each row with the first and the last node of its list in an order that the salt gives, other components only."""
+    """Each row with two nodes of its list, those of other components only.
+
+    These are the first and the last in an order that the salt gives; in the first round the first one is the node whose
+    match lies nearest to its start, the one with the fewest shingles of its own, to which copies of one text are closest.
+    """
     def work(part: dict[str, np.ndarray], bounds: np.ndarray) -> dict[str, np.ndarray]:
         size, at = np.diff(bounds), np.arange(len(part["h"]))
         order = mix(part["sig"].view(np.uint64) ^ np.uint64(salt))
+        nearest = order if salt else (np.minimum(part["pos"], (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (order >> np.uint64(24))
 
-        def place(extreme: np.ufunc) -> np.ndarray:
+        def place(extreme: np.ufunc, order: np.ndarray) -> np.ndarray:
             """For each row the row of its list's extreme node."""
             hit = np.flatnonzero(order == np.repeat(extreme.reduceat(order, bounds[:-1]), size))
             return np.repeat(hit[np.searchsorted(hit, bounds[:-1])], size)
 
-        i, j = np.concatenate([at, at]), np.concatenate([place(np.minimum), place(np.maximum)])
+        i, j = np.concatenate([at, at]), np.concatenate([place(np.minimum, nearest), place(np.maximum, order)])
         good = _passes(part, i, j) & (part["root"][i] != part["root"][j])
         return _as_pairs(part, i[good], j[good])
 
