@@ -7,7 +7,7 @@ suffix: itself and up to three more words of its piece.
    tasks which words and which pairs reach ``least``; a suffix ends before a word or a pair that does not, as no frequent
    phrase holds it. What a filter lets through wrongly costs work, not exactness.
 2. Each task combines its equal suffixes. They are written once, then routed by their leading words: range partitions
-   over (language, word 1, ..., word 4), so a leading word of any frequency is cut at its second, third or fourth word.
+   over language and words, so a leading word of any frequency is cut at its second, third or fourth word.
 3. A task sorts pointers to its suffixes to depth four. All open partitions take a round together: each is split by a
    pivot word into less, equal and greater. The size of an equal partition is the count of a phrase; it goes on one word
    deeper. Partitions below ``least`` are abandoned. Only a phrase at either end of a task's range can have occurrences
@@ -39,10 +39,12 @@ SIMPLER = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
 PORTION = 4 << 20
 #: Bits of the filter of frequent words (a power of two).
 FILTER_BITS = 1 << 27
+#: Where the second of a hash's two bits is taken from, for hashes of 64 and of 32 bits.
+WIDE, NARROW = 32, 5
 #: Rows of suffixes that make one range.
 RANGE_ROWS = 250_000
-WORDS = [f"w{i}" for i in range(1, DEPTH + 1)]
-SUFFIX = "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long"
+#: A suffix is one text, each word with a space after it, so that what begins with the same words lies side by side.
+SUFFIX = "lang string, words string, n int"
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
@@ -80,10 +82,11 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["lang", "word", "n"])
 
 
-def frequent_bits(hashes: DataFrame) -> bytes:
-    """Filter of the column ``h``: two bits of each hash. Its size is fixed."""
+def frequent_bits(hashes: DataFrame, wide: bool = True) -> bytes:
+    """Filter of the column ``h``, 64 or 32 bits wide: two bits of each hash. Its size is fixed."""
+    h = F.col("h").cast("long").bitwiseAND(F.lit(-1 if wide else 0xFFFFFFFF))
     bits = hashes.select(F.explode(F.array(
-        F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(FILTER_BITS - 1)))).alias("bit"))
+        h.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(h, WIDE if wide else NARROW).bitwiseAND(F.lit(FILTER_BITS - 1)))).alias("bit"))
     pages = bits.groupBy(F.floor(F.col("bit") / 32768).alias("page")).agg(F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits"))
     out = bytearray(FILTER_BITS // 8)
     for row in pages.toLocalIterator():  # at most FILTER_BITS / 32768 pages of 4 KiB
@@ -91,17 +94,18 @@ def frequent_bits(hashes: DataFrame) -> bytes:
     return bytes(out)
 
 
-def _within(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _within(h: np.ndarray, bits: np.ndarray, wide: bool = True) -> np.ndarray:
     """Which hashes the filter may hold."""
     mask = np.uint64(FILTER_BITS - 1)
     found = np.ones(len(h), bool)
-    for bit in (h & mask, (h >> np.uint64(32)) & mask):
+    h = h.astype(np.uint64)
+    for bit in (h & mask, (h >> np.uint64(WIDE if wide else NARROW)) & mask):
         found &= (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
     return found
 
 
 def _frequent(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[tuple]:
-    """Of each portion: language, frequent words (the empty word first), word at each place, pairs' hashes (0: no pair).
+    """Of each portion: language, frequent words (the empty word first), word at each place, pairs' 32-bit hashes (0: no pair).
 
     A place holds 0 where its word is not frequent; a pair is a frequent word and the frequent word after it in its piece.
     """
@@ -113,10 +117,10 @@ def _frequent(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[t
         codes = np.where(kept[codes], np.cumsum(kept)[codes], 0)
         words = pa.concat_arrays([pa.array([b""], pa.binary()), words.filter(pa.array(kept))])
         h = np.append(np.zeros(1, np.uint64), h[kept])
-        pair = np.zeros(len(codes), np.uint64)
+        pair = np.zeros(len(codes), np.uint32)
         there = (codes[:-1] > 0) & (codes[1:] > 0) & (piece[:-1] == piece[1:])
         after = h[codes[1:][there]]
-        pair[:-1][there] = (h[codes[:-1][there]] ^ (after << np.uint64(31) | after >> np.uint64(33))) | np.uint64(1 << 63)
+        pair[:-1][there] = ((h[codes[:-1][there]] ^ (after << np.uint64(31) | after >> np.uint64(33))) >> np.uint64(20)).astype(np.uint32) | np.uint32(1)
         yield lang, words, codes, pair
 
 
@@ -126,7 +130,7 @@ def pair_hashes(bits) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, pair in _frequent(batches, np.frombuffer(bits.value, np.uint8)):
             keys, n = np.unique(pair[pair > 0], return_counts=True)
-            yield from pa.Table.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"]).to_batches(max_chunksize=200_000)
+            yield from pa.Table.from_arrays([pa.array(keys.view(np.int32)), pa.array(n, pa.int32())], names=["h", "n"]).to_batches(max_chunksize=200_000)
 
     return run
 
@@ -137,7 +141,7 @@ def suffixes(bits, pair_bits) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, codes, pair in _frequent(batches, np.frombuffer(bits.value, np.uint8)):
             goes_on = pair > 0
-            goes_on[goes_on] = _within(pair[goes_on], np.frombuffer(pair_bits.value, np.uint8))
+            goes_on[goes_on] = _within(pair[goes_on], np.frombuffer(pair_bits.value, np.uint8), wide=False)
             columns = [codes.astype(np.int64)]
             for depth in range(1, DEPTH):
                 ahead = np.zeros(len(codes), np.int64)
@@ -153,10 +157,12 @@ def suffixes(bits, pair_bits) -> callable:
             right, right_at = np.unique(columns[2] * size + columns[3], return_inverse=True)
             keys, n = np.unique(left_at * len(right) + right_at, return_counts=True)
             a, b = left[keys // len(right)], right[keys % len(right)]
-            at = [a // size, a % size, b // size, b % size]
+            spaced = pc.binary_join_element_wise(words.cast(pa.string()), pa.scalar(""), " ")
+            spaced = pa.concat_arrays([pa.array([""], pa.string()), spaced[1:]])  # no word, no space
+            parts = [spaced.take(pa.array(x)) for x in (a // size, a % size, b // size, b % size)]
             yield from pa.Table.from_arrays(
-                [pa.array([lang] * len(keys), pa.string()), *[words.take(pa.array(x)).cast(pa.string()) for x in at], pa.array(n, pa.int64())],
-                names=["lang", *WORDS, "n"]).to_batches(max_chunksize=100_000)
+                [pa.array([lang] * len(keys), pa.string()), pc.binary_join_element_wise(*parts, ""), pa.array(n, pa.int32())],
+                names=["lang", "words", "n"]).to_batches(max_chunksize=100_000)
 
     return run
 
@@ -206,18 +212,20 @@ def counted(least: int) -> callable:
         for lang in pc.unique(held.column("lang")).to_pylist():
             mine = held.filter(pc.equal(held.column("lang"), lang))
             size = mine.num_rows
-            coded = pa.chunked_array([c for w in WORDS for c in mine.column(w).chunks]).combine_chunks().dictionary_encode()
-            words = coded.dictionary
-            by_bytes = pc.sort_indices(words.cast(pa.binary())).to_numpy()
-            rank = np.empty(len(words), np.int64)
-            has_none = len(words) and words[int(by_bytes[0])].as_py() == ""
-            rank[by_bytes] = np.arange(len(words)) + (0 if has_none else 1)  # the empty word is 0
-            codes = rank[coded.indices.to_numpy()]
-            columns = [codes[i * size:(i + 1) * size] for i in range(DEPTH)]
-            weight = mine.column("n").to_numpy()
+            listed = pc.split_pattern(pc.utf8_rtrim(mine.column("words").combine_chunks(), " "), " ")
+            coded, counts = listed.flatten().dictionary_encode(), pc.list_value_length(listed).to_numpy()
+            # by bytes and with the space, as the routing compares them
+            by_bytes = pc.sort_indices(pc.binary_join_element_wise(coded.dictionary, pa.scalar(""), " ").cast(pa.binary())).to_numpy()
+            rank = np.empty(len(by_bytes), np.int64)
+            rank[by_bytes] = np.arange(1, len(by_bytes) + 1)  # 0 stands for no word
+            codes, first = rank[coded.indices.to_numpy()], np.cumsum(counts) - counts
+            columns = [np.zeros(size, np.int64) for _ in range(DEPTH)]
+            for depth, column in enumerate(columns):
+                there = counts > depth
+                column[there] = codes[first[there] + depth]
+            names = ["", *coded.dictionary.take(pa.array(by_bytes)).to_pylist()]
+            weight = mine.column("n").to_numpy().astype(np.int64)
             phrases, counts = [], []
-            names = words.take(pa.array(by_bytes)).to_pylist()
-            names = names if has_none else ["", *names]
             ends = set()
             for pick in (np.min, np.max):
                 same = np.ones(size, bool)
@@ -252,11 +260,11 @@ def phrase_counts(docs: DataFrame, least: int = 30, text: str = "text", lang: st
     words = written(words, "phrase-words")
     named = F.xxhash64(F.concat(F.encode("lang", "UTF-8"), F.unhex(F.lit("00")), F.encode("word", "UTF-8")))
     bits = spark.sparkContext.broadcast(frequent_bits(words.filter(F.col("n") >= least).select(named.alias("h"))))
-    pairs = rows.mapInArrow(pair_hashes(bits), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    pair_bits = spark.sparkContext.broadcast(frequent_bits(pairs.filter(F.col("n") >= least)))
+    pairs = rows.mapInArrow(pair_hashes(bits), "h int, n int").groupBy("h").agg(F.sum("n").alias("n"))
+    pair_bits = spark.sparkContext.broadcast(frequent_bits(pairs.filter(F.col("n") >= least), wide=False))
     found = written(rows.mapInArrow(suffixes(bits, pair_bits), SUFFIX), "phrase-suffixes")
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found.count() // RANGE_ROWS))
-    routed = found.repartitionByRange(ranges, "lang", *WORDS)
+    routed = found.repartitionByRange(ranges, "lang", "words")
     counts = routed.mapInArrow(counted(least), "lang string, phrase string, n long")
     phrases = written(counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-counts")
     bits.destroy()
