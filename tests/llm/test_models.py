@@ -33,15 +33,60 @@ def test_toxicity_learns_from_the_folds_only(spark):
     docs = documents(spark, [(i, f"{LINE} {'vile' if i % 2 else 'kind'} {i}") for i in range(200)])
     labels = spark.createDataFrame([(i, i % 2, "x") for i in range(200)] + [(3, None, "x"), (9999, 1, "x"), (None, 1, "x")], LABELS)
     model = toxicity.fit(docs, labels)
-    assert model.words.get("vile", 0) > 0 and "kind" not in {w for w, v in model.words.items() if v > 0}
+    assert model.evidence(f"{LINE} vile") > 0 and model.evidence(f"{LINE} kind") == model.evidence("kind") == 0
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert toxicity.fit(docs, flipped) == model
     out = toxicity.score(documents(spark), model, keep=["doc_id", "score", "text"])
     assert out.columns == ["doc_id", "text", "score", "predicted"] and out.count() == len(TEXTS)
-    kept = toxicity.without_toxic(docs.union(documents(spark, [(None, "vile vile vile")])), labels)
+    kept = toxicity.without_toxic(docs.union(documents(spark, [(None, f"{LINE} vile")])), labels)
     assert kept.columns == docs.columns and {r["doc_id"] % 2 for r in kept.collect()} == {0}
 
 
+def plain_pairs(rows, d2=3.0, d1=1.0, d0=0.75):
+    """Kneser-Ney models of two classes, word by word; returns the difference of their logarithms for a pair."""
+    pairs, before, after = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
+    for text, toxic in rows:
+        words = toxicity.units(text or "")
+        pairs[toxic].update(zip(["", *words], words))
+    shared = Counter(w for _, w in pairs[0].keys() | pairs[1].keys())
+    for c in (0, 1):
+        for (v, w), n in pairs[c].items():
+            before[c][w] += 1
+            after[c][v] += n
+    total = sum(shared.values())
+
+    def p(c, v, w):
+        q = max(shared[w] - d0, 0) / total + d0 * len(shared) / total / (len(shared) + 1)
+        size = sum(before[c].values())
+        one = max(before[c][w] - d1, 0) / size + sum(min(n, d1) for n in before[c].values()) / size * q
+        if not after[c][v]:
+            return one
+        freed = sum(min(n, d2) for (x, _), n in pairs[c].items() if x == v) / after[c][v]
+        return max(pairs[c][v, w] - d2, 0) / after[c][v] + freed * one
+
+    return lambda v, w: np.log(p(1, v, w) / p(0, v, w))
+
+
+def test_toxicity_equals_plain_kneser_ney(spark):
+    rng = np.random.default_rng(3)
+    common, bad = [f"w{chr(97 + i)}" for i in range(12)], ["vile", "awful", "nasty"]
+    rows = []
+    for i in range(60):
+        toxic = int(i % 3 == 0)
+        words = [str(rng.choice(common)) for _ in range(int(rng.integers(0, 30)))]
+        for _ in range(4 * toxic):
+            words.insert(int(rng.integers(0, len(words) + 1)), "so " + str(rng.choice(bad)))
+        rows.append((" ".join(words) or None, toxic))
+    learned = spark.createDataFrame(rows, "text string, toxic int")
+    model, apart = toxicity._tables(toxicity._counts(learned)), plain_pairs(rows)
+    seen = [t or "" for t, _ in rows] + ["", "so vile unseen", "unseen vile", "wa wb so so so", "nasty nasty nasty"]
+    for text in seen:
+        words = toxicity.units(text)
+        want = sum(max(apart(v, w) - toxicity.MARGIN, 0.0) for v, w in zip(["", *words], words)) / max(len(words), 1)
+        assert model.evidence(text) == pytest.approx(want, abs=1e-9), text
+    assert model.pairs and model.words and max(model.evidence(t) for t in seen) > 0
+
+
 def test_toxicity_without_labels(spark):
     model = toxicity.fit(documents(spark), spark.createDataFrame([], LABELS))
     assert {r["predicted"] for r in toxicity.score(documents(spark), model).collect()} == {0}
