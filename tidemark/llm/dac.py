@@ -19,6 +19,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,14 +149,16 @@ class WordIds:
     """Token ids of texts from the tokenizers library, which gets every word once while the tables hold it.
 
     The public pattern always begins a piece at a space before another character, so a text is its first word and the
-    words with a space before them. A word of letters is one piece and goes to the library's merges; a comma or full stop
-    after letters is a piece of its own; all other words, and texts in which a space comes before white space or the end,
-    go to the library whole, as do texts that hold the content of an added token, which the library finds before it cuts
-    pieces. Two bounded tables: what is used moves to the younger.
+    words with a space before them. A word of letters is one piece and goes to the library's merges; common marks and
+    single line feeds after and between letters are pieces of their own; all other words, and texts in which a space comes
+    before white space or the end, go to the library whole, as do texts that hold the content of an added token, which
+    the library finds before it cuts pieces. Two bounded tables: what is used moves to the younger.
     """
 
     LIMIT = 350_000
     ODD = re.compile(r" (?:\s|\Z)")
+    #: Marks that the pattern takes as one piece, and a line feed.
+    MARKS = re.compile(r"([.,;:!?]+|\n)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -167,47 +170,65 @@ class WordIds:
         self.merges = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(_byte_letters()))
         self.space = self.letters[32]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks = {mark: self.whole(mark) for mark in ",."}
+        self.young, self.old = _Young(self), {}
+        self.inner: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def piece(self, word: str) -> bytes:
-        """A space and letters."""
+    def piece(self, word: str, before: str | None = None) -> bytes:
+        """Letters, with a space before them unless told otherwise."""
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
-        found = [token.id for token in self.merges(self.space + word)]
-        return struct.pack(f"<{len(found)}I", *found)
+        return array("I", [token.id for token in self.merges((self.space if before is None else before) + word)]).tobytes()
 
-    def word(self, word: str) -> bytes:
-        """Ids of a space and a word."""
-        found = self.old.get(word)
+    def _inner(self, part: str) -> bytes:
+        """Ids of letters, marks or a line feed that follow something else; a bounded table."""
+        found = self.inner.get(part)
         if found is None:
-            if word.isalpha():
-                found = self.piece(word)
-            elif word[-1:] in self.marks and word[:-1].isalpha():
-                bare = word[:-1]
-                found = (self.young.get(bare) or self.old.get(bare) or self.piece(bare)) + self.marks[word[-1]]
-            else:
-                found = self.whole(" " + word)
+            if len(self.inner) > self.LIMIT // 4:
+                self.inner.clear()
+            found = self.inner[part] = self.piece(part, "") if part.isalpha() else self.whole(part)
         return found
 
+    def word(self, word: str) -> bytes:
+        """Ids of a space and a word."""
+        if word.isalpha():
+            return self.piece(word)
+        first, *rest = self.MARKS.split(word)
+        letters = rest[1::2]
+        if first.isalpha() and "\n\n" not in word and all(part.isalpha() for part in letters if part):
+            found = self.young.get(first) or self.old.get(first) or self.piece(first)
+            return found + b"".join([self._inner(part) for part in rest if part])
+        return self.whole(" " + word)
+
     def ids(self, text: str, end: int) -> np.ndarray:
         if self.ODD.search(text) or self.added.search(text):
             found = self.whole(text)
         else:
             first, *words = text.split(" ")
             if len(self.young) > self.LIMIT:
-                self.young, self.old = {}, self.young
-            young = self.young
-            for word in set(words).difference(young):
-                young[word] = self.word(word)
-            found = (self.whole(first) if first else b"") + b"".join(map(young.__getitem__, words))
+                self.young, self.old = _Young(self), self.young
+            found = (self.whole(first) if first else b"") + b"".join(map(self.young.__getitem__, words))
         return np.frombuffer(found + struct.pack("<I", end), "<u4")
 
 
+class _Young(dict):
+    """The younger table: a word that is missing comes from the older one, or is worked out."""
+
+    def __init__(self, known: WordIds):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.known.old.get(word)
+        if found is None:
+            found = self.known.word(word)
+        if "\n" not in word:  # two words around a line end hardly come again
+            self[word] = found
+        return found
+
+
 _WORDS: dict[str, WordIds] = {}
 
 
