@@ -14,7 +14,7 @@ from cases import TEXTS, documents, nothing
 from tokenizers import Tokenizer
 
 from tidemark.llm import dac, sharding, warc
-from tidemark.llm.common import written
+from tidemark.llm.common import open_store, settled, written
 from tidemark.llm.queries import QUERIES
 from tidemark.session import scratch_path
 
@@ -109,6 +109,52 @@ def test_added_tokens_are_the_librarys(spark):
     assert dac.WordIds(JSON).ids(rows[0][1], 2).tolist() == [505, 220, 50256, 734, 2]
 
 
+def test_keys_of_any_type(spark):
+    for kind, made in (("string", "concat('k', id)"), ("date", "date_add(DATE'2024-01-30', CAST(id AS INT))"), ("double", "id / 3")):
+        rows = spark.range(6).selectExpr(f"{made} AS k", "concat('a b ', id) AS text")
+        files = written(dac.write_ids(rows, scratch_path(spark, "dac-test"), JSON, 2, key="k"), "files")
+        got = dac.read_ids(files, "k", kind)
+        assert got.schema["k"].dataType == rows.schema["k"].dataType
+        assert [r["k"] for r in got.orderBy("start").collect()] == [r["k"] for r in rows.orderBy("k").collect()]
+
+
+def test_wide_ids_have_more_levels():
+    ids = np.array([0, 255, 256, 65_535, 65_536, 100_255, 1 << 24], np.uint32)
+    assert [dac.chunk_widths(n) for n in (0, 255, 256, 65_535, 65_536, 1 << 24)] == [(8,), (8,), (8, 8), (8, 8), (8, 8, 8), (8,) * 4]
+    import tempfile
+    with tempfile.NamedTemporaryFile() as file:
+        file.write(b"".join(dac.encode_file(ids, np.array([0, 7]), [1], dac.chunk_widths(1 << 24))))
+        file.flush()
+        opened = dac.DacFile(file.name)
+        assert opened.read(0, 7).tolist() == ids.tolist() and opened[5] == 100_255
+
+
+def test_paths_lead_where_spark_leads(spark, tmp_path):
+    """A path without scheme under another default file system; stores that nobody knows."""
+    assert settled(spark, f"{tmp_path}/a b/c") == f"file://{tmp_path}/a b/c"
+    assert settled(spark, "s3a://b/c") == "s3a://b/c"
+    store, root = open_store(f"file:{tmp_path}/a b")
+    assert root == f"{tmp_path}/a b" and open_store(f"file://{tmp_path}/x")[1] == f"{tmp_path}/x"
+    with pytest.raises(ValueError):
+        open_store("dbfs:/x")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    before = {name: hadoop.get(name) for name in ("fs.defaultFS",)}
+    hadoop.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+    hadoop.set("fs.defaultFS", "viewfs://store/")
+    try:
+        assert settled(spark, "/in/d") == "viewfs://store/in/d"
+    finally:
+        hadoop.set("fs.defaultFS", before["fs.defaultFS"])
+
+
+def test_archives_on_disks_of_their_own_are_an_error(spark):
+    out = scratch_path(spark, "warc-test")
+    files = written(warc.write_archives(pages(spark, [(1, "u", "a"), (2, "u", "b")]).repartition(2), out), "files")
+    warc.require_shared(files, out)
+    with pytest.raises(RuntimeError):
+        warc.require_shared(files.unionByName(files.selectExpr("concat(path, 'x') AS path", "records")), out)
+
+
 def test_words_equal_whole_texts():
     words, rng = dac.WordIds(JSON), random.Random(3)
     for _ in range(300):

@@ -92,6 +92,21 @@ def test_one_of_each(spark):
     assert by[3, None] == by[4, ""] == 1
 
 
+def test_wordless_and_repeated_rows(spark):
+    """Rows without words all stay, repeated and null keys among them; equal rows with words leave one."""
+    rows = [(3, None), (3, None), (3, ""), (None, " "), (None, " "), (4, LINE), (4, LINE), (None, "a b"), (None, "a b")]
+    by = Counter((r["doc_id"], r["text"]) for r in jaccard.one_of_each(documents(spark, rows)).collect())
+    assert by == {(3, None): 2, (3, ""): 1, (None, " "): 2, (4, LINE): 1, (None, "a b"): 1}
+
+
+@pytest.mark.parametrize("kind,made", [("double", "id / 2"), ("date", "date_add(DATE'2024-01-01', CAST(id AS INT))"), ("smallint", "CAST(id AS SMALLINT)")])
+def test_keys_of_any_type(spark, kind, made):
+    rows = spark.range(4).selectExpr(f"{made} AS k", "CASE WHEN id < 3 THEN 'one two three four five six' ELSE '' END AS text")
+    got = jaccard.near_duplicates(rows, "k").collect()
+    ids = [r["k"] for r in rows.orderBy("k").collect()]
+    assert sorted(tuple(r) for r in got) == [(ids[0], 2, ids[0]), (ids[1], 2, ids[0]), (ids[2], 2, ids[0]), (ids[3], 0, ids[3])]
+
+
 def test_threshold_is_exact():
     for x in range(1, 60):
         for y in range(1, 60):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
@@ -45,10 +47,29 @@ def texts(column: pa.Array) -> Iterator[str]:
 
 
 def open_store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    """File system and path of a shared folder given as URI or plain path."""
-    if "://" in uri or uri.startswith("file:"):
-        return arrow_fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[5:])
-    return arrow_fs.LocalFileSystem(), uri
+    """File system and path of a shared folder given as URI; ``settled`` makes one of a path without scheme."""
+    scheme = re.match(r"([a-z][a-z0-9+.-]+):", uri)
+    if scheme is None:
+        return arrow_fs.LocalFileSystem(), uri
+    if scheme[1] == "file":
+        return arrow_fs.LocalFileSystem(), re.sub(r"^file:(//[^/]*)?", "", uri)
+    try:
+        return arrow_fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))  # Hadoop's names of one store
+    except pa.ArrowInvalid as error:
+        raise ValueError(f"files cannot be written to {uri}: a store that Arrow does not know") from error
+
+
+def settled(spark: SparkSession, folder: str) -> str:
+    """The folder as Spark resolves it: a path without scheme gets that of the default file system.
+
+    A row written beside the folder tells where such a path leads; executors then use the same store as Spark.
+    """
+    if re.match(r"[a-z][a-z0-9+.-]+:", folder):
+        return folder
+    beside = f"{folder.rstrip('/')}.place"
+    spark.range(1).write.mode("overwrite").parquet(beside)
+    found = urlsplit(spark.read.parquet(beside).inputFiles()[0])
+    return f"{found.scheme}://{found.netloc}{unquote(found.path).rsplit('.place/', 1)[0]}"
 
 
 def put_file(uri: str, name: str, data: bytes | list[bytes]) -> str:

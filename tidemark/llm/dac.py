@@ -28,18 +28,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import open_store, put_file, texts
+from tidemark.llm.common import open_store, put_file, settled, texts
 
 MAGIC = b"TDMKDAC1"
 BLOCK = 512
-#: Chunk widths in bits; their sum covers every id. Whole bytes need no shifting.
+#: Chunk widths in bits for ids up to 65,535; ``chunk_widths`` fits them to a vocabulary. Whole bytes need no shifting.
 WIDTHS = (8, 8)
 #: A file is closed at this many ids, a reader decodes about so many at once.
 FILE_IDS, READ_IDS = 8_000_000, 1_000_000
+#: Key types that stand in the files as they are; others stand there as text.
+PLAIN = {"tinyint", "smallint", "int", "bigint", "string"}
 #: Tasks of the reader at most; each reads one file after the other.
 READERS = 10_000
 
 
+def chunk_widths(largest: int) -> tuple[int, ...]:
+    """Widths that cover ids up to ``largest``."""
+    return (8,) * max(1, -(-int(largest).bit_length() // 8))
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
     """Fixed-width numbers, lowest bit first."""
     if width == 8:
@@ -170,6 +177,7 @@ class WordIds:
         self.merges = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(_byte_letters()))
         self.space = self.letters[32]
+        self.largest = max(self.tokenizer.get_vocab().values(), default=0)
         self.young, self.old = _Young(self), {}
         self.inner: dict[str, bytes] = {}
 
@@ -234,8 +242,11 @@ _WORDS: dict[str, WordIds] = {}
 
 def write_ids(docs: DataFrame, folder: str, tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes the files and returns one row for each: order, path, documents, ids."""
+    folder = settled(docs.sparkSession, folder)
     ordered = docs.select(docs[key].alias("key"), docs[text].alias("text")) \
         .repartitionByRange("key", F.xxhash64("text")).sortWithinPartitions("key", "text")
+    if docs.schema[key].dataType.simpleString() not in PLAIN:
+        ordered = ordered.withColumn("key", F.col("key").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _WORDS:
@@ -245,7 +256,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end: int, key: str =
 
         def close() -> pa.RecordBatch:
             ids = np.concatenate(held)
-            path = put_file(folder, f"part-{part:06d}-{number:06d}.dac", encode_file(ids, np.concatenate([[0], np.cumsum(lengths)]), keys))
+            data = encode_file(ids, np.concatenate([[0], np.cumsum(lengths)]), keys, chunk_widths(max(known.largest, end)))
+            path = put_file(folder, f"part-{part:06d}-{number:06d}.dac", data)
             return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "path": [path], "docs": [len(keys)], "ids": [len(ids)]})
 
         for batch in batches:
@@ -267,7 +279,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end: int, key: str =
 def read_ids(files: DataFrame, key: str = "doc_id", kind: str = "bigint") -> DataFrame:
     """One row for each document from the files: key, ``start`` (ids of all before it), ``n_tokens``, ``ids_crc32``.
 
-    ``files`` is what ``write_ids`` returned, written down: a few columns for each file.
+    ``files`` is what ``write_ids`` returned, written down: a few columns for each file. ``kind`` is the key's type.
     """
     order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("before", F.coalesce(F.sum("ids").over(order), F.lit(0))).select("path", "before", "docs")
@@ -284,10 +296,12 @@ def read_ids(files: DataFrame, key: str = "doc_id", kind: str = "bigint") -> Dat
                     cuts = starts[doc:stop + 1] - starts[doc]
                     sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(file.keys[doc:stop], batch_type), pa.array(before + starts[doc:stop]),
+                        pa.array(file.keys[doc:stop], arrow), pa.array(before + starts[doc:stop]),
                         pa.array(np.diff(cuts)), pa.array(sums, pa.int64()),
                     ], names=[key, "start", "n_tokens", "ids_crc32"])
                     doc = stop
 
-    batch_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    return spread.mapInArrow(run, f"`{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    number = kind in PLAIN - {"string"}
+    arrow = pa.int64() if number else pa.string()
+    rows = spread.mapInArrow(run, f"`{key}` {'bigint' if number else 'string'}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return rows.withColumn(key, F.col(f"`{key}`").cast(kind))

@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts, written
@@ -57,6 +57,7 @@ def _survey(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
+            key_type = batch.column("key").type
             size, sig, profile = [], [], []
             for found in shingle_sets(texts(batch.column("text"))):
                 size.append(len(found))
@@ -76,7 +77,6 @@ def _survey(docs: DataFrame) -> DataFrame:
                 [pa.nulls(len(part), key_type), none, none, pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(counts[part])],
                 names=["key", "n", "sig", "profile", "bucket", "count"])
 
-    key_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     return docs.mapInArrow(run, f"key {kind}, n bigint, sig bigint, profile binary, bucket bigint, count bigint")
 
 
@@ -334,9 +334,13 @@ def _open_lists(lists: DataFrame, classes: DataFrame) -> tuple[DataFrame, int, i
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without the copies: of each component the row of the smallest key stays, rows without words all stay."""
-    found = near_duplicates(docs, key, text)
+    """The documents without the copies: of each component the row of the smallest key stays.
+
+    Rows without words all stay. Of rows with one key and one text (by a 64-bit hash), null keys included, one stays.
+    """
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = near_duplicates(docs, key, text).where("n_shingles > 0")
     stay = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__k")).distinct()
-    kept = docs.join(stay, docs[key].eqNullSafe(stay["__k"]), "left_semi")
-    same = Window.partitionBy(key, F.xxhash64(text)).orderBy(key)
-    return kept.withColumn("__n", F.row_number().over(same)).where("__n = 1").select(*docs.columns)
+    kept = docs.where(worded).join(stay, docs[key].eqNullSafe(stay["__k"]), "left_semi")
+    kept = kept.withColumn("__h", F.xxhash64(text)).dropDuplicates([key, "__h"])  # combines in each task first
+    return kept.select(*docs.columns).unionByName(docs.where(~worded))

@@ -45,8 +45,10 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
 def warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "warc")
     pages = table(spark, folder, "pages")
-    if written(warc.write_archives(pages, out), "warc-files").isEmpty():  # runs the write; no page, no folder
+    files = written(warc.write_archives(pages, out), "warc-files")  # runs the write
+    if files.isEmpty():  # no page, no folder
         return spark.createDataFrame([], "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    warc.require_shared(files, out)
     return warc.read_archives(spark, out, html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

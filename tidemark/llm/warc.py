@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import open_store, put_file
+from tidemark.llm.common import open_store, put_file, settled
 
 MAGIC = b"\x1f\x8b\x08"
 DATE = "1970-01-01T00:00:00Z"
@@ -90,6 +90,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
         if held:
             yield close()
 
+    folder = settled(pages.sparkSession, folder)
     rows = with_revisits(pages, least_bytes)
     return rows.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html", F.col("refers_to").cast("bigint").alias("refers_to")) \
         .mapInArrow(run, "path string, records bigint")
@@ -164,11 +165,22 @@ def parse(content: bytes) -> dict:
     }
 
 
+def _archives(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
+
+
+def require_shared(files: DataFrame, folder: str) -> None:
+    """An error if Spark does not see all that ``write_archives`` told of: tasks then wrote to disks of their own."""
+    told, seen = files.select("path").distinct().count(), _archives(files.sparkSession, folder).count()
+    if seen < told:
+        raise RuntimeError(f"{folder} is not shared: {told} archives were written there, {seen} are seen")
+
+
 def read_archives(spark: SparkSession, folder: str, html: bool = True, range_bytes: int = RANGE_BYTES, read_bytes: int = READ_BYTES) -> DataFrame:
     """One row for each record of all ``*.warc.gz`` below ``folder``; tasks get byte ranges, not files."""
     kinds = {"page_id": "bigint", "url": "string", "record_type": "string", "payload_bytes": "bigint", "payload_digest": "string", "refers_to": "bigint"}
     kinds |= {"html": "string"} if html else {}
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
+    files = _archives(spark, folder)
     ranges = files.where("length > 0").select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint"))).alias("first"))
     arrow = pa.schema([(n, pa.int64() if k == "bigint" else pa.string()) for n, k in kinds.items()])
 
