@@ -156,13 +156,13 @@ class WordIds:
     """Token ids of texts from the tokenizers library, which gets every word once while the tables hold it.
 
     The public pattern always begins a piece at a space before another character, so a text is its first word and the
-    words with a space before them. A word of letters is one piece and goes to the library's merges; common marks and
-    single line feeds after and between letters are pieces of their own; all other words, and texts in which a space comes
+    words with a space before them. A word of letters is one piece and goes to the library's merges; common marks after and
+    between letters are pieces of their own, as are single line feeds between others than white space; all other words, and texts in which a space comes
     before white space or the end, go to the library whole, as do texts that hold the content of an added token, which
     the library finds before it cuts pieces. Two bounded tables: what is used moves to the younger.
     """
 
-    LIMIT = 350_000
+    LIMIT = 800_000
     ODD = re.compile(r" (?:\s|\Z)")
     #: Marks that the pattern takes as one piece, and a line feed.
     MARKS = re.compile(r"([.,;:!?]+|\n)")
@@ -191,7 +191,7 @@ class WordIds:
         return array("I", [token.id for token in self.merges((self.space if before is None else before) + word)]).tobytes()
 
     def _inner(self, part: str) -> bytes:
-        """Ids of letters, marks or a line feed that follow something else; a bounded table."""
+        """Ids of letters, marks, a line feed or what begins a line; a bounded table."""
         found = self.inner.get(part)
         if found is None:
             if len(self.inner) > self.LIMIT // 4:
@@ -206,8 +206,7 @@ class WordIds:
         first, *rest = self.MARKS.split(word)
         letters = rest[1::2]
         if first.isalpha() and "\n\n" not in word and all(part.isalpha() for part in letters if part):
-            found = self.young.get(first) or self.old.get(first) or self.piece(first)
-            return found + b"".join([self._inner(part) for part in rest if part])
+            return self.young[first] + b"".join([self._inner(part) for part in rest if part])
         return self.whole(" " + word)
 
     def ids(self, text: str, end: int) -> np.ndarray:
@@ -229,11 +228,16 @@ class _Young(dict):
         self.known = known
 
     def __missing__(self, word: str) -> bytes:
+        if "\n" in word:  # two words around a line end hardly come again: each by itself, the single line feeds between
+            first, *rest = parts = word.split("\n")
+            if parts != word.split():
+                return self.known.word(word)
+            inner = self.known._inner
+            return self[first] + b"".join([inner("\n") + inner(part) for part in rest])
         found = self.known.old.get(word)
         if found is None:
             found = self.known.word(word)
-        if "\n" not in word:  # two words around a line end hardly come again
-            self[word] = found
+        self[word] = found
         return found
 
 
