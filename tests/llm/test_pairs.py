@@ -161,11 +161,11 @@ def pad(seed, n=200):
 def test_items_are_found(spark):
     docs = [(i, t) for i, t in TEXTS] + [
         (50, f"{pad(1)} {TESTS[0][1]} {pad(2)}"), (51, f"{pad(3, 47)} {ITEM} {pad(4)}"), (52, f"{pad(5)} {TESTS[5][1].upper()} {pad(6)}"),
-        (53, f"{pad(7)} short question of several words here\nyes {pad(8)}"), (54, f"{pad(9)} what colour has the sky {pad(10)}"),
+        (53, f"{pad(7)}\nShort question of several words here:\nyes\n{pad(8)}"), (54, f"{pad(9)} what colour has the sky {pad(10)}"),
         (55, f"{pad(1)} too short {pad(2)}"), (56, pad(11)), (None, ITEM), (57, " ".join(TESTS[5][1].split()[:60]) + pad(3))]
-    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), items_of(spark)).collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(documents(spark, docs), items_of(spark), parts=False).collect()}
     assert got == {(50, 1), (50, 2), (51, 2), (52, 6), (53, 7), (None, 2)}
-    clean = decontaminate.clean(documents(spark, docs), items_of(spark))
+    clean = decontaminate.clean(documents(spark, docs), items_of(spark), parts=False)
     assert clean.columns == documents(spark).columns
     assert sorted(r["doc_id"] for r in clean.collect() if (r["doc_id"] or 0) >= 50) == [54, 55, 56, 57]
     assert decontaminate.contaminated(nothing(spark), items_of(spark)).count() == 0
@@ -180,17 +180,31 @@ def test_parts_of_items_are_found(spark):
     items = [*TESTS, (8, " ".join(plain) + "\n" + " ".join(f"last{i}" for i in range(9))), (9, "what is it?\nblue it is"), (10, "a b c d\ne f g")]
     changed = [f"z{i}" if i % 10 == 9 else w for i, w in enumerate(plain)]
     docs = [(57, " ".join(long[:60]) + pad(3)), (58, f"{pad(1)} {' '.join(long[70:83])} {pad(2)}"), (59, f"{pad(1)} {' '.join(long[70:82])} {pad(2)}"),
-            (60, f"{pad(4)} {' '.join(plain)} {pad(5)}"), (61, f"{pad(6)} {' '.join(changed)} {pad(7)}"), (62, f"{pad(8)} Too short! {pad(9)}"),
+            (60, f"{pad(4)} {' '.join(plain)} {pad(5)}"), (61, f"{pad(6)} {' '.join(changed)} {pad(7)}"), (62, f"{pad(8)}\nToo short!\n{pad(9)}"),
+            (67, f"{pad(8)} too short {pad(9)}"), (68, f"{pad(1)} short question of several words here yes {pad(2)}"),
             (63, f"{pad(8)} too very short {pad(9)}"), (64, pad(rng.randrange(100))), (65, "too shorter"), (66, " ".join(plain[:9]))]
     found = decontaminate.contaminated(documents(spark, docs), items_of(spark, items), parts=True).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(57, 6), (58, 6), (60, 8), (61, 8), (62, 5)]
     assert all(0 < r["bm25_share"] <= 1 + 1e-9 for r in found)
     clean = decontaminate.clean(documents(spark, docs), items_of(spark, items), parts=True)
-    assert sorted(r["doc_id"] for r in clean.collect()) == [59, 63, 64, 65, 66]
+    assert sorted(r["doc_id"] for r in clean.collect()) == [59, 63, 64, 65, 66, 67, 68]
     assert [r["item_id"] for r in decontaminate.contaminated(documents(spark, docs), items_of(spark, [(5, "too short")]), parts=True).collect()] == [5]
     assert decontaminate.contaminated(documents(spark, docs), items_of(spark, []), parts=True).count() == 0
 
 
+def test_short_items_are_whole_lines():
+    assert decontaminate.stands_alone("x\nThe\ny", ["the"]) and decontaminate.stands_alone("of the", ["of", "the"])
+    assert decontaminate.stands_alone("a b\n\nc!\nd", ["a", "b", "c"]) and not decontaminate.stands_alone("a b\nc d", ["b", "c"])
+    assert not decontaminate.stands_alone("the sun\nin the", ["the"]) and not decontaminate.stands_alone("", ["the"])
+
+
+def test_text_item_ids(spark):
+    items = spark.createDataFrame([("q-1", ITEM), (None, ITEM), ("q-2", "other words of a question that nobody has asked")], "item_id string, text string")
+    found = decontaminate.contaminated(documents(spark, [(1, f"{pad(1)} {ITEM}"), (2, "the")]), items)
+    assert found.schema["item_id"].dataType.simpleString() == "string"
+    assert sorted((r["doc_id"], r["item_id"] or "") for r in found.collect()) == [(1, ""), (1, "q-1")]
+
+
 def test_slices_give_the_same(spark, small, monkeypatch):
     read = lambda name: spark.read.parquet(f"{small}/{name}.parquet")
     once = sorted(map(tuple, decontaminate.contaminated(read("documents"), read("benchmark")).collect()))

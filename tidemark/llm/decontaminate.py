@@ -9,7 +9,7 @@ every block is done; the others walk the postings document at a time, skip block
 the pivot rule leaves. A retrieved item is then verified in the text around the passage: of the question's word n-grams
 and of the answer's (the last line of an item of several lines) at least ``OVERLAP`` each must stand there.
 
-With ``parts`` (the query and the pipeline) a piece of an item is enough. Rolling hashes of word ids, checked word by word,
+With ``parts`` (the default) a piece of an item is enough. Rolling hashes of word ids, checked word by word,
 find every run of ``RUN`` words of an item and every stretch of ``2 * CHUNK`` words that holds ``OVERLAP`` of a chunk's word
 n-grams, whatever their BM25 score; shorter items count where all their words stand in a row. A last line is then an answer
 only below a question mark or behind a mark of its own (``ANSWER``), and no copy is let off because its answer is missing.
@@ -18,8 +18,11 @@ The items are a stated query set. Their statistics come from all items; the inde
 items or chunks, whichever makes more slices, and the texts are read once for each slice. Each slice's index is built on
 the driver, and an item is not cut, so an item of very many chunks makes a slice of its size.
 
+An item of fewer than ``SHORT`` words is too common a phrase to count inside a sentence: it must be a whole line of the
+text, or several.
+
 Defined cases: a null or empty text has no passage; an item without words is never reported, one with fewer than ``NGRAM``
-words only with ``parts`` (share 1), as n-grams cannot verify it; equal items are all reported; rows are searched one by one, null or repeated keys like others; an
+words only with ``parts`` (share 1), as n-grams cannot verify it; item ids may be of any type; equal items are all reported; rows are searched one by one, null or repeated keys like others; an
 empty table on either side gives no rows; further columns are ignored.
 """
 
@@ -41,6 +44,8 @@ from tidemark.llm.common import texts, written
 WORD = re.compile(r"[^\W_]+")
 CHUNK, BLOCK, SLICE, NGRAM = 48, 4, 4096, 5
 SHARE, OVERLAP = 0.6, 0.5
+#: Items of fewer words count only as whole lines.
+SHORT = 8
 RUN, MIX = 13, np.uint64(0x9E3779B97F4A7C15)
 ANSWER = re.compile(r"\s*(?:answer|solution|a)\s*[:.)]|\s*####", re.IGNORECASE)
 K1, B = 1.2, 0.75
@@ -68,7 +73,7 @@ def overlap(part: list[str], there: list[str]) -> float:
 
 
 class Item(NamedTuple):
-    item: int
+    item: int | str | None
     length: int
     question: list[str]
     answer: list[str]
@@ -274,6 +279,17 @@ def share_of(index: Index, chunk: int, there: list[str]) -> float:
     return total * SHARE
 
 
+def stands_alone(text: str, item: list[str]) -> bool:
+    """Whether the words are all the words of one line or of some lines in a row."""
+    words: list[str] = []
+    edges = [0]
+    for line in text.split("\n"):
+        words += words_of(line)
+        edges.append(len(words))
+    ends = set(edges)
+    return any(at + len(item) in ends and words[at:at + len(item)] == item for at in edges)
+
+
 def matches(index: Index, text: str) -> dict[int, tuple[float, float, float]]:
     """Item places with the best normalised score, question overlap and answer overlap, verified ones only."""
     words = words_of(text)
@@ -296,16 +312,18 @@ def matches(index: Index, text: str) -> dict[int, tuple[float, float, float]]:
         score = share_of(index, chunk, words[at // CHUNK * CHUNK:at // CHUNK * CHUNK + 2 * CHUNK]) if chunk >= 0 else 1.0
         found = (score, overlap(item.question, there), overlap(item.answer, there))
         best[k] = max(best.get(k, found), found)
-    return best
+    return {k: found for k, found in best.items() if index.items[k].length >= SHORT or stands_alone(text, index.items[k].words)}
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-                 parts: bool = False) -> DataFrame:
+                 parts: bool = True) -> DataFrame:
     """One row for each text and item that it holds (with ``parts``: a piece of it): keys, BM25 share, question and answer overlap."""
     spark = docs.sparkSession
     source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    tests = items.select(items[item].cast("bigint").alias("item"), items[item_text].alias("text"))
+    named = items.schema[item].dataType
+    item_kind = "bigint" if named.simpleString() in ("tinyint", "smallint", "int", "bigint") else "string"
+    tests = items.select(items[item].cast(item_kind).alias("item"), items[item_text].alias("text"))
 
     def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,10 +341,12 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"word": pa.array(list({w for value in texts(batch.column("text")) for w in words_of(value)}), pa.string())})
 
-    counts = tests.select("text").mapInArrow(statistics, "word string, chunks bigint, size bigint").groupBy("word").agg(
-        F.sum("chunks").alias("chunks"), F.sum("size").alias("size")).persist()
+    counts = written(tests.select("text").mapInArrow(statistics, "word string, chunks bigint, size bigint").groupBy("word").agg(
+        F.sum("chunks").alias("chunks"), F.sum("size").alias("size")), "item-words")
     whole = counts.where("word = ''").first()
-    out = spark.createDataFrame([], f"key {kind}, item bigint, score double, question double, answer double")
+    schema = f"key {kind}, item {item_kind}, score double, question double, answer double"
+    item_type = pa.int64() if item_kind == "bigint" else pa.string()
+    out = spark.createDataFrame([], schema)
     total, size = (whole["chunks"] or 0, whole["size"] or 0) if whole else (0, 0)
     slices = max(1, -(-max(tests.count(), total) // SLICE))
     for number in range(slices if total or parts else 0):
@@ -344,16 +364,16 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
                         found.append((held.value.items[k].item, *measures))
                 columns = list(zip(*found, strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").take(pa.array(keys, pa.int64())), pa.array(columns[0], pa.int64()), *(pa.array(c, pa.float64()) for c in columns[1:])],
+                    [batch.column("key").take(pa.array(keys, pa.int64())), pa.array(columns[0], item_type), *(pa.array(c, pa.float64()) for c in columns[1:])],
                     names=["key", "item", "score", "question", "answer"])
 
-        out = out.union(source.mapInArrow(run, f"key {kind}, item bigint, score double, question double, answer double")) if number else \
-            source.mapInArrow(run, f"key {kind}, item bigint, score double, question double, answer double")
-    return out.select(F.col("key").alias(key), F.col("item").alias("item_id"), F.col("score").alias("bm25_share"),
+        found = source.mapInArrow(run, schema)
+        out = out.union(found) if number else found
+    return out.select(F.col("key").alias(key), F.col("item").cast(named).alias("item_id"), F.col("score").alias("bm25_share"),
                       F.col("question").alias("question_overlap"), F.col("answer").alias("answer_overlap"))
 
 
-def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", parts: bool = False) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", parts: bool = True) -> DataFrame:
     """The documents that hold no test item (with ``parts``: no piece of one)."""
     held = written(contaminated(docs, items, key, text, parts=parts).select(F.col(key).alias("__k")).distinct(), "contaminated")
     return docs.join(held, docs[key].eqNullSafe(held["__k"]), "left_anti")
