@@ -162,6 +162,19 @@ def test_words_equal_whole_texts():
         assert words.ids(text, 2).tobytes()[:-4] == words.whole(text)
 
 
+def test_marks_do_not_go_to_the_library():
+    """Letters with marks after or between them are put together from pieces; only the marks themselves are encoded as texts."""
+    words, whole = dac.WordIds(JSON), []
+    plain = words.whole
+    words.whole = lambda text: whole.append(text) or plain(text)
+    rng = random.Random(4)
+    letters = ["".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(200)]
+    text = " ".join(f"{w}{rng.choice(['***', '&&&', '_', '$', '.,'])}{rng.choice(['', rng.choice(letters)])}" for w in letters)
+    text = "\n".join(text[i:i + 100].strip() for i in range(0, len(text), 100))
+    assert words.ids(text, 2).tobytes()[:-4] == plain(text)
+    assert len(whole) < 40 and not any(part.isalpha() and len(part) > 1 for part in whole)
+
+
 def test_matrix_has_its_margins():
     sources, targets = [0, 5, 17, 1000, 3], sharding.shard_sizes(1025, 8)
     matrix = sharding.communication_matrix(sources, targets, 4)

@@ -84,7 +84,7 @@ def encode_file(ids: np.ndarray, starts: np.ndarray, keys: list, widths: tuple[i
 
     rest = ids.astype(np.uint32)
     for depth, width in enumerate(widths):
-        level = {"width": width, "count": len(rest), "chunks": add(in_parts(rest & np.uint32((1 << width) - 1), width))}
+        level = {"width": width, "count": len(rest), "chunks": add(in_parts(rest if width == 8 else rest & np.uint32((1 << width) - 1), width))}
         rest = rest >> np.uint32(width)
         if depth + 1 < len(widths):
             more = rest > 0
@@ -156,8 +156,8 @@ class WordIds:
     """Token ids of texts from the tokenizers library, which gets every word once while the tables hold it.
 
     The public pattern always begins a piece at a space before another character, so a text is its first word and the
-    words with a space before them. A word of letters is one piece and goes to the library's merges; common marks after and
-    between letters are pieces of their own, as are single line feeds between others than white space; all other words, and texts in which a space comes
+    words with a space before them. A word of letters is one piece and goes to the library's merges; marks of ASCII after and
+    between letters, but for the apostrophe, are pieces of their own, as are single line feeds between others than white space; all other words, and texts in which a space comes
     before white space or the end, go to the library whole, as do texts that hold the content of an added token, which
     the library finds before it cuts pieces. Two bounded tables: what is used moves to the younger.
     """
@@ -165,7 +165,9 @@ class WordIds:
     LIMIT = 800_000
     ODD = re.compile(r" (?:\s|\Z)")
     #: Marks that the pattern takes as one piece, and a line feed.
-    MARKS = re.compile(r"([.,;:!?]+|\n)")
+    MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
+    #: Longer words without a space before them are not kept.
+    KEPT = 64
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -194,19 +196,31 @@ class WordIds:
         """Ids of letters, marks, a line feed or what begins a line; a bounded table."""
         found = self.inner.get(part)
         if found is None:
-            if len(self.inner) > self.LIMIT // 4:
-                self.inner.clear()
-            found = self.inner[part] = self.piece(part, "") if part.isalpha() else self.whole(part)
+            if part.isalpha():
+                found = self.piece(part, "")
+            elif cuts := self._cuts(part):
+                found = b"".join(map(self._inner, cuts))
+            else:
+                found = self.whole(part)
+            if len(part) <= self.KEPT:
+                if len(self.inner) > self.LIMIT // 4:
+                    self.inner.clear()
+                self.inner[part] = found
         return found
 
+    def _cuts(self, word: str) -> list[str]:
+        """Letters, then marks, line feeds and letters by turns; none if the word holds anything else."""
+        first, *rest = self.MARKS.split(word)
+        if first.isalpha() and "\n\n" not in word and all(part.isalpha() for part in rest[1::2] if part):
+            return [first, *filter(None, rest)]
+        return []
+
     def word(self, word: str) -> bytes:
         """Ids of a space and a word."""
         if word.isalpha():
             return self.piece(word)
-        first, *rest = self.MARKS.split(word)
-        letters = rest[1::2]
-        if first.isalpha() and "\n\n" not in word and all(part.isalpha() for part in letters if part):
-            return self.young[first] + b"".join([self._inner(part) for part in rest if part])
+        if cuts := self._cuts(word):
+            return self.young[cuts[0]] + b"".join(map(self._inner, cuts[1:]))
         return self.whole(" " + word)
 
     def ids(self, text: str, end: int) -> np.ndarray:
@@ -216,7 +230,8 @@ class WordIds:
             first, *words = text.split(" ")
             if len(self.young) > self.LIMIT:
                 self.young, self.old = _Young(self), self.young
-            found = (self.whole(first) if first else b"") + b"".join(map(self.young.__getitem__, words))
+            start = b"" if not first else self.whole(first) if "\n" in first else self._inner(first)
+            found = start + b"".join(map(self.young.__getitem__, words))
         return np.frombuffer(found + struct.pack("<I", end), "<u4")
 
 
