@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import slices, texts
 
 LEAF = 32
 CACHE = 400_000
@@ -150,7 +150,7 @@ def tokenize(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         digits, token = enc.digits.__getitem__, enc.bytes_of.__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             counts, first, second, lists = [], [], [], []
             for value in texts(batch.column("text")):
                 found = enc.encode_text(value)

@@ -46,6 +46,13 @@ def texts(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``: what a task makes of a batch, and hands back, stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def open_store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a shared folder given as URI; ``settled`` makes one of a path without scheme."""
     scheme = re.match(r"([a-z][a-z0-9+.-]+):", uri)

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import crc_bucket, texts, written
+from tidemark.llm.common import crc_bucket, slices, texts, written
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Letters of a unit.
@@ -45,6 +45,8 @@ UNIT = 4
 PAIR_DISCOUNT, UNIT_DISCOUNT, SHARED_DISCOUNT, MARGIN = 3.0, 1.0, 0.75, 2.0
 SAMPLE = 20_000
 FLOOR = 1e-3
+#: Pairs that a task counts before it hands them on.
+HELD_PAIRS = 100_000
 #: Stands before the first unit.
 START = ""
 
@@ -102,15 +104,25 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str)
 def _counts(sample: DataFrame) -> DataFrame:
     """``v``, ``w``, ``t`` and ``o``: how often unit w follows unit v in toxic and ordinary rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = (Counter(), Counter())
+
+        def out() -> pa.RecordBatch:
+            pairs = list(by[0].keys() | by[1].keys())
+            found = pa.RecordBatch.from_pydict({
+                "v": pa.array([p[0] for p in pairs], pa.string()), "w": pa.array([p[1] for p in pairs], pa.string()),
+                "t": pa.array([by[1][p] for p in pairs], pa.int64()), "o": pa.array([by[0][p] for p in pairs], pa.int64())})
+            by[0].clear()
+            by[1].clear()
+            return found
+
         for batch in batches:
-            by = (Counter(), Counter())
             for value, toxic in zip(texts(batch.column("text")), batch.column("toxic").to_pylist(), strict=True):
                 found = units(value)
                 by[toxic].update(zip([START, *found], found))  # the first unit follows the start
-            pairs = list(by[0].keys() | by[1].keys())
-            yield pa.RecordBatch.from_pydict({
-                "v": pa.array([p[0] for p in pairs], pa.string()), "w": pa.array([p[1] for p in pairs], pa.string()),
-                "t": pa.array([by[1][p] for p in pairs], pa.int64()), "o": pa.array([by[0][p] for p in pairs], pa.int64())})
+                if len(by[0]) + len(by[1]) > HELD_PAIRS:
+                    yield out()
+        if by[0] or by[1]:
+            yield out()
 
     rows = sample.select("text", "toxic").mapInArrow(run, "v string, w string, t bigint, o bigint")
     return written(rows.groupBy("v", "w").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "pair-counts")
@@ -179,22 +191,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """The kept columns with ``score`` (0 to 1) and ``predicted``."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
-    held = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text].alias("text"))
+    return _scored(source, model, len(keep), lambda batch: batch.column("text")).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _scored(source: DataFrame, model: Model, kept: int, text_of: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """The first ``kept`` columns, which come back as they are, and ``score``."""
+    held = source.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([held.value.evidence(v) for v in texts(batch.column("text"))], float)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(f"c{i}") for i in range(len(keep))), pa.array(held.value.score(x))], names=[*(f"c{i}" for i in range(len(keep))), "score"])
+        for batch in slices(batches):
+            x = np.array([held.value.evidence(v) for v in texts(text_of(batch))], float)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(held.value.score(x))], names=[*batch.schema.names[:kept], "score"])
 
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("score", T.DoubleType())])
-    return source.mapInArrow(run, schema).select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return source.mapInArrow(run, T.StructType([*source.schema.fields[:kept], T.StructField("score", T.DoubleType())]))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, columns unchanged, that are not predicted to be toxic."""
     model = fit(docs, labels, key, text)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return score(rows, model, keep=["row"]).where("predicted = 0").select("row.*")
+    at = [c.lower() for c in docs.columns].index(text.lower())
+    rows = docs.select(F.struct("*").alias("row"))  # the text goes to the task once, inside its row
+    return _scored(rows, model, 1, lambda batch: batch.column("row").field(at)).where("score < 0.5").select("row.*")
