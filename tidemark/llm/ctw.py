@@ -32,7 +32,8 @@ from tidemark.llm.common import crc_bucket, texts, written
 
 DEPTH = 5
 FAST, FAST_WORDS = 1 << 20, 1 << 18
-CHUNK = 1 << 21
+#: Bytes of text that a task works on at once; a dozen arrays of eight times that size live meanwhile.
+CHUNK = 1 << 19
 #: Ends a text; no byte of UTF-8 has this value.
 END = 255
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -74,9 +75,11 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         keys, counts, parts, size = None, None, [], 0
 
         def merged():
-            every = np.concatenate([p[0] for p in parts])
+            every, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            parts.clear()
             order = np.argsort(every, kind="stable")
-            every, n = every[order], np.concatenate([p[1] for p in parts])[order]
+            every, n = every[order], n[order]
+            del order
             first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
             return every[first], np.add.reduceat(n, first)
 
@@ -278,12 +281,11 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     found = most_frequent(lengths, FAST).select("key", "lp").toArrow()
     tables = fast_table(found.column("key").to_numpy(), found.column("lp").to_numpy())
     common = most_frequent(words, FAST_WORDS).select("word", "n").toArrow()
-    held = docs.sparkSession.sparkContext.broadcast((tables, dict(zip(
-        common.column("word").to_pylist(), common.column("n").to_pylist(), strict=True))))
+    held = docs.sparkSession.sparkContext.broadcast((tables, {
+        w: math.log10(n + 1) - base for w, n in zip(common.column("word").to_pylist(), common.column("n").to_pylist(), strict=True)}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (first, second), frequent = held.value
-        price = {w: math.log10(n + 1) - base for w, n in frequent.items()}
+        (first, second), price = held.value
         end = math.log10(ends + 1) - base
         for batch in batches:
             at = 0
