@@ -1,16 +1,19 @@
 """Trained models: held-out figures and plain versions."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import LINE, TEXTS, documents, nothing
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import ctw, licences, quality, toxicity
+from tidemark.llm.common import slices
 from tidemark.llm.queries import QUERIES
 
 LABELS = "doc_id bigint, toxic int, score string"
@@ -198,6 +201,56 @@ def test_licences(spark):
     assert licences.scan(nothing(spark)).count() == 0
 
 
+def test_licences_learn_from_all_paragraphs(spark, monkeypatch):
+    """The fit and the least probability are those of all paragraphs of the corpus, one by one."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+    monkeypatch.setattr(licences, "LEAST", 0.01)
+    rng = random.Random(8)
+    some = sorted({w for _, notice in licences.TEMPLATES for w in notice.lower().replace(",", "").replace(".", "").split()})
+    docs = documents(spark, [(i, "\n".join(" ".join(rng.choices(some, k=rng.randint(3, 6))) for _ in range(3))) for i in range(2500)])
+    model, least = licences.train(docs)
+    lines = licences._features(licences.paragraphs(docs, "doc_id", "text").where(licences._likeness(F.col("w")) < 0.3))
+    held = F.pmod(F.xxhash64("w"), F.lit(4)) == 0
+    families = [*licences.FAMILIES, "unknown"]
+    rows = []
+    for family, notice in licences.TEMPLATES:
+        w = "".join(c if c.isalnum() else " " for c in notice.lower()).split()
+        rows += [(float(families.index(family)), w[a:b]) for a in range(len(w)) for b in range(a + 3, len(w) + 1) if b - a >= math.ceil(len(w) * licences.STRETCH)]
+    known = licences._features(spark.createDataFrame(rows, "label double, w array<string>")).select("label", "features")
+    every = known.union(lines.where(~held).select(F.lit(float(len(licences.FAMILIES))), "features")).cache()
+    share = {r["label"]: 1000 / r["count"] for r in every.groupBy("label").count().collect()}
+    weight = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("label"))
+    plain = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, elasticNetParam=0.5, maxIter=50).fit(every.withColumn("weight", weight))
+    assert model.summary.objectiveHistory[-1] == pytest.approx(plain.summary.objectiveHistory[-1], rel=2e-2)
+    best = F.array_max(F.slice(vector_to_array("probability"), 1, len(licences.FAMILIES)))
+    top = model.transform(lines.where(held)).agg(F.max(best)).first()[0]
+    assert top > licences.LEAST and least == pytest.approx(min(0.99, top), rel=1e-9)
+
+
+def test_toxicity_hands_on_what_it_holds(spark, monkeypatch):
+    """Pair counts leave a task in bounded parts, and a text goes to the task once, inside its row."""
+    rows = [(i, " ".join(f"{a}{b}" for a in "abcdefgh" for b in "stuvwxyz"[i % 8:]), i % 2) for i in range(40)]
+    sample = spark.createDataFrame(rows, "k int, text string, toxic int").coalesce(1)
+    whole = sorted(map(tuple, toxicity._counts(sample).collect()))
+    monkeypatch.setattr(toxicity, "HELD_PAIRS", 10)
+    assert sorted(map(tuple, toxicity._counts(sample).collect())) == whole
+    want = Counter((v, w, t) for _, text, t in rows for v, w in zip(["", *toxicity.units(text)], toxicity.units(text)))
+    assert whole == sorted((v, w, want[v, w, 1], want[v, w, 0]) for v, w in {k[:2] for k in want})
+    docs = documents(spark)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    kept = toxicity.without_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "text#" not in plan.split("MapInArrow")[1].split("\n")[0]
+
+
+def test_batches_of_a_task_are_bounded():
+    batch = pa.RecordBatch.from_pydict({"x": list(range(2500))})
+    parts = list(slices([batch, batch.slice(0, 0)]))
+    assert [p.num_rows for p in parts] == [1000, 1000, 500] and pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+
+
 def test_pipeline_equals_its_parts(spark, small):
     """Each stage's decision, worked out by plain rules on what the stage before it kept."""
     docs = read(spark, small, "documents")
