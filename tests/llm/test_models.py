@@ -228,6 +228,14 @@ def test_licences_learn_from_all_paragraphs(spark, monkeypatch):
     assert top > licences.LEAST and least == pytest.approx(min(0.99, top), rel=1e-9)
 
 
+def test_licences_read_every_paragraph(spark, monkeypatch):
+    seen, write = {}, licences.written
+    monkeypatch.setattr(licences, "written", lambda df, name: seen.setdefault(name, write(df, name)))
+    licences.train(documents(spark, [(i, f"some words of line {i}") for i in range(1100)]))
+    unknown = next(rows for name, rows in seen.items() if name.startswith("unknown"))
+    assert unknown.agg(F.sum("n") if "n" in unknown.columns else F.count(F.lit(1))).first()[0] == 1100
+
+
 def test_toxicity_hands_on_what_it_holds(spark, monkeypatch):
     """Pair counts leave a task in bounded parts, and a text goes to the task once, inside its row."""
     rows = [(i, " ".join(f"{a}{b}" for a in "abcdefgh" for b in "stuvwxyz"[i % 8:]), i % 2) for i in range(40)]
