@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import TEXTS, documents, nothing
 from tokenizers import Tokenizer
@@ -175,6 +176,44 @@ def test_marks_do_not_go_to_the_library():
     assert len(whole) < 40 and not any(part.isalpha() and len(part) > 1 for part in whole)
 
 
+def test_tables_are_asked_once_for_each_distinct_word(monkeypatch):
+    asked = []
+
+    class Counted(dac._Young):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(dac, "_Young", Counted)
+    words, text = dac.WordIds(JSON), " ".join(["first", *["once", "more", "and", "again"] * 500])
+    assert words.ids(text, 2).tobytes()[:-4] == words.whole(text)
+    assert sorted(asked) == ["again", "and", "more", "once"]
+
+
+def test_many_texts_at_once_equal_each_by_itself():
+    """Empty texts, texts that go to the library whole, words that only begin a text, marks at the end of a word."""
+    words = dac.WordIds(JSON)
+    mark = words.tokenizer.get_added_tokens_decoder()[50256].content
+    rows = ["", "alone", "alone again", " led by a space", "ends in one ", "", f"x {mark} y", "two  spaces", "a\tb c", "line\nend line\nend",
+            "Wort, größer. größer... größer.' it's (so)", "12 and 3.5, ok", "", "日本 語. 日本", mark, "a \x1c b"]
+    rng = random.Random(5)
+    rows += ["".join(rng.choice(["a", "B", " ", " ", "\n", ".", "!?", "é", "'s", "12"]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    ids, counts = words.ids_of(rows, 2)
+    want = [[*words.tokenizer.encode(row, add_special_tokens=False).ids, 2] for row in rows]
+    assert counts.tolist() == [*map(len, want)] and ids.tolist() == sum(want, [])
+    assert "größer" in words.young and "größer." not in words.young  # the letters are kept, not what ends in marks
+
+
+def test_portions_hold_all_rows():
+    made = [None, "", "abc", "x" * 50, None, "é" * 3, "y" * 25, ""]
+    batch = pa.RecordBatch.from_pydict({"key": [*range(len(made))], "text": pa.array(made, pa.string())})
+    for size in (1, 7, 10, 1000):
+        parts = [*dac.portions(iter([batch, batch.slice(0, 0), batch.slice(2, 3)]), size)]
+        assert [row for part in parts for row in part.column("key").to_pylist()] == [*range(len(made)), 2, 3, 4]
+        assert all(part.num_rows for part in parts)
+    assert [part.num_rows for part in dac.portions(iter([batch]), 10)] == [3, 3, 2]
+
+
 def test_matrix_has_its_margins():
     sources, targets = [0, 5, 17, 1000, 3], sharding.shard_sizes(1025, 8)
     matrix = sharding.communication_matrix(sources, targets, 4)

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ MAGIC = b"TDMKDAC1"
 BLOCK = 512
 #: Chunk widths in bits for ids up to 65,535; ``chunk_widths`` fits them to a vocabulary. Whole bytes need no shifting.
 WIDTHS = (8, 8)
-#: A file is closed at this many ids, a reader decodes about so many at once.
+#: A file is closed once it has this many ids, a reader decodes about so many at once.
 FILE_IDS, READ_IDS = 8_000_000, 1_000_000
 #: Key types that stand in the files as they are; others stand there as text.
 PLAIN = {"tinyint", "smallint", "int", "bigint", "string"}
@@ -159,13 +160,16 @@ class WordIds:
     words with a space before them. A word of letters is one piece and goes to the library's merges; marks of ASCII after and
     between letters, but for the apostrophe, are pieces of their own, as are single line feeds between others than white space; all other words, and texts in which a space comes
     before white space or the end, go to the library whole, as do texts that hold the content of an added token, which
-    the library finds before it cuts pieces. Two bounded tables: what is used moves to the younger.
+    the library finds before it cuts pieces. Two bounded tables: what is used moves to the younger. Of words that end in
+    marks they keep the letters alone.
     """
 
     LIMIT = 800_000
     ODD = re.compile(r" (?:\s|\Z)")
     #: Marks that the pattern takes as one piece, and a line feed.
     MARKS = re.compile(r"([!-&(-/:-@\[-`{-~]+|\n)")
+    #: The same marks one by one.
+    ENDS = "".join(mark for mark in map(chr, range(33, 127)) if not mark.isalnum() and mark != "'")
     #: Longer words without a space before them are not kept.
     KEPT = 64
 
@@ -223,16 +227,34 @@ class WordIds:
             return self.young[cuts[0]] + b"".join(map(self._inner, cuts[1:]))
         return self.whole(" " + word)
 
+    def _start(self, word: str) -> bytes:
+        """Ids of the word that begins a text."""
+        return b"" if not word else self.whole(word) if "\n" in word else self._inner(word)
+
     def ids(self, text: str, end: int) -> np.ndarray:
-        if self.ODD.search(text) or self.added.search(text):
-            found = self.whole(text)
-        else:
-            first, *words = text.split(" ")
-            if len(self.young) > self.LIMIT:
-                self.young, self.old = _Young(self), self.young
-            start = b"" if not first else self.whole(first) if "\n" in first else self._inner(first)
-            found = start + b"".join(map(self.young.__getitem__, words))
-        return np.frombuffer(found + struct.pack("<I", end), "<u4")
+        return self.ids_of([text], end)[0]
+
+    def ids_of(self, found: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, each with the end id, and how many each has.
+
+        Arrow finds the distinct words of them all, so the tables are asked once for each, and puts the ids in their places.
+        """
+        if len(self.young) > self.LIMIT:
+            self.young, self.old = _Young(self), self.young
+        plain = ["" if self.ODD.search(text) or self.added.search(text) else text for text in found]
+        starts = [self._start(cut.split(" ", 1)[0]) if cut or not text else self.whole(text) for text, cut in zip(found, plain, strict=True)]
+        words = pc.split_pattern(pa.array(plain, pa.string()), " ")
+        coded = words.values.dictionary_encode()
+        bounds, order = words.offsets.to_numpy(), coded.indices.to_numpy().copy()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        order[bounds[:-1]] = len(distinct) + np.arange(len(plain))  # the first words have no space before them
+        asked = np.bincount(order)[:len(distinct)].tolist()
+        known = [self.young[word] if times else b"" for word, times in zip(distinct, asked, strict=True)] + starts
+        places = np.concatenate([[0], np.cumsum(np.fromiter(map(len, known), np.int64, len(known))) // 4])
+        table = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4")))
+        placed = table.take(pa.array(order))
+        ends = placed.offsets.to_numpy()[bounds[1:]]
+        return np.insert(placed.values.to_numpy(), ends, end), np.diff(ends, prepend=0) + 1
 
 
 class _Young(dict):
@@ -249,6 +271,8 @@ class _Young(dict):
                 return self.known.word(word)
             inner = self.known._inner
             return self[first] + b"".join([inner("\n") + inner(part) for part in rest])
+        if (letters := word.rstrip(self.known.ENDS)) != word and letters.isalpha():  # put together anew: only the letters are kept
+            return self[letters] + self.known._inner(word[len(letters):])
         found = self.known.old.get(word)
         if found is None:
             found = self.known.word(word)
@@ -259,6 +283,16 @@ class _Young(dict):
 _WORDS: dict[str, WordIds] = {}
 
 
+def portions(batches: Iterator[pa.RecordBatch], size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text; a longer text is not cut."""
+    for batch in batches:
+        before = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(before // size)) + 1).tolist(), batch.num_rows]
+        for at, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if stop > at:
+                yield batch.slice(at, stop - at)
+
+
 def write_ids(docs: DataFrame, folder: str, tokenizer: str, end: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Writes the files and returns one row for each: order, path, documents, ids."""
     folder = settled(docs.sparkSession, folder)
@@ -279,16 +313,15 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end: int, key: str =
             path = put_file(folder, f"part-{part:06d}-{number:06d}.dac", data)
             return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "path": [path], "docs": [len(keys)], "ids": [len(ids)]})
 
-        for batch in batches:
-            for name, value in zip(batch.column("key"), texts(batch.column("text")), strict=True):
-                found = known.ids(value, end)
-                held.append(found)
-                keys.append(name.as_py())
-                lengths.append(len(found))
-                total += len(found)
-                if total >= FILE_IDS:
-                    yield close()
-                    number, total, held, keys, lengths = number + 1, 0, [], [], []
+        for rows in portions(batches):
+            found, counts = known.ids_of(list(texts(rows.column("text"))), end)
+            held.append(found)
+            keys += rows.column("key").to_pylist()
+            lengths += counts.tolist()
+            total += len(found)
+            if total >= FILE_IDS:
+                yield close()
+                number, total, held, keys, lengths = number + 1, 0, [], [], []
         if keys:
             yield close()
 
